@@ -1,0 +1,138 @@
+"""Dimension joins and per-group top-k, with hot keys."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickflow.operators import broadcast_bytes, dim_join, dim_lookup, group_top, group_top_list
+from tests.conftest import rows
+
+
+@pytest.fixture(scope="module")
+def emp(spark):
+    return spark.createDataFrame([("10", "x"), ("20", "y"), ("10", "z")], "deptno string, ename string")
+
+
+@pytest.fixture(scope="module")
+def dept(spark):
+    return spark.createDataFrame([("10", "ACC"), ("20", "RES"), ("40", "OPS")], "deptno string, dname string")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+JOINED = [("10", "x", "ACC"), ("10", "z", "ACC"), ("20", "y", "RES")]
+
+
+def test_join_and_lookup_agree(emp, dept):
+    assert rows(dim_join(emp, dept, "deptno")) == JOINED
+    assert rows(dim_join(emp, dept, "deptno", strategy="broadcast")) == JOINED
+    assert rows(dim_lookup(emp, dept, "deptno")) == JOINED
+
+
+def test_join_multiplies_duplicates_and_drops_misses(spark, emp):
+    dim = spark.createDataFrame([("10", "A"), ("10", "B")], "deptno string, dname string")
+    expected = [("10", e, d) for e in "xz" for d in "AB"]
+    for salt in (0, 1, 5):
+        assert rows(dim_join(emp, dim, "deptno", salt=salt)) == expected
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, 0])
+def test_lookup_misses(spark, emp, max_bytes):
+    dim = spark.createDataFrame([("10", "ACC"), (None, "NONE")], "deptno string, dname string")
+    facts = emp.unionByName(spark.createDataFrame([(None, "n")], emp.schema))
+    found = dim_lookup(facts, dim, "deptno", on_miss="drop", max_bytes=max_bytes)
+    assert rows(found) == [("10", "x", "ACC"), ("10", "z", "ACC")]
+    nulls = dim_lookup(facts, dim, "deptno", on_miss="null", max_bytes=max_bytes)
+    assert set(rows(nulls)) == {*rows(found), ("20", "y", None), (None, "n", None)}
+    strict = dim_lookup(emp, dim, "deptno", max_bytes=max_bytes)
+    with pytest.raises(Exception, match="no dimension row for 20"):
+        strict.collect()
+    # Counting needs no column of the dimension, and must still notice the miss.
+    with pytest.raises(Exception, match="no dimension row for 20"):
+        strict.count()
+    with pytest.raises(ValueError, match="on_miss"):
+        dim_lookup(emp, dim, "deptno", on_miss="ignore")
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, 0])
+def test_lookup_duplicates(spark, emp, max_bytes):
+    dim = spark.createDataFrame(
+        [("10", "old", 1), ("10", "new", 2), ("20", "RES", 1)], "deptno string, dname string, v int"
+    )
+    last = dim_lookup(emp, dim, "deptno", order_by="v", max_bytes=max_bytes)
+    assert rows(last) == [("10", "x", "new"), ("10", "z", "new"), ("20", "y", "RES")]
+    with pytest.raises(Exception, match="more than one dimension row for 10"):
+        dim_lookup(emp, dim, "deptno", max_bytes=max_bytes).count()
+
+
+def test_small_dimension_is_broadcast_and_large_is_not(emp, dept):
+    assert "BroadcastHashJoin" in plan_of(dim_lookup(emp, dept, "deptno"))
+    assert "SortMergeJoin" in plan_of(dim_lookup(emp, dept, "deptno", max_bytes=10))
+    assert "SortMergeJoin" in plan_of(dim_join(emp, dept, "deptno", strategy="broadcast", max_bytes=10))
+    assert "SortMergeJoin" in plan_of(dim_join(emp, dept, "deptno"))
+
+
+def test_measured_size_grows_with_rows_and_text(spark):
+    one = spark.createDataFrame([("a" * 1000,)], "s string")
+    assert broadcast_bytes(one) >= 1000
+    assert broadcast_bytes(spark.range(1000)) >= 8000
+    assert broadcast_bytes(spark.range(0)) == 0
+    assert broadcast_bytes(spark.range(3).select(F.array(F.lit("x" * 50)).alias("a"))) >= 150
+
+
+def test_hot_key_is_spread(spark):
+    facts = spark.range(0, 4000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id"
+    )
+    dim = spark.range(4000).withColumnRenamed("id", "k").withColumn("name", F.concat(F.lit("n"), "k"))
+    joined = dim_lookup(facts, dim, "k", max_bytes=0)
+    assert joined.count() == 4000
+    # Adaptive execution would merge the small partitions of this test again.
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, False)
+    try:
+        hot = joined.where("k = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset(merging)
+    assert hot > 1
+
+
+@pytest.fixture(scope="module")
+def groups(spark):
+    values = [("a", v) for v in (1, 9, 9, 4, 9)] + [("b", 2)] + [("x_y", 5), ("x_z", 6), ("", -1)]
+    return spark.createDataFrame([*values, ("a", None)], "key string, value int")
+
+
+@pytest.mark.parametrize("salt", [None, 1, 4])
+def test_group_top(groups, salt):
+    assert rows(group_top(groups, "key", "value", salt=salt)) == [
+        ("", -1, 1),
+        ("a", 9, 1),
+        ("a", 9, 2),
+        ("a", 9, 3),
+        ("b", 2, 1),
+        ("x_y", 5, 1),
+        ("x_z", 6, 1),
+    ]
+    lists = {r.key: r.top_values for r in group_top_list(groups, "key", "value", salt=salt).collect()}
+    assert lists == {"": [-1], "a": [9, 9, 9], "b": [2], "x_y": [5], "x_z": [6]}
+
+
+def test_group_top_of_a_hot_key(spark):
+    df = spark.range(0, 9000, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"),
+        F.col("id").alias("value"),
+    )
+    for salt in (None, 8):
+        top = group_top(df, "key", "value", k=2, salt=salt).where("key = 'hot'")
+        assert rows(top) == [("hot", 8994, 2), ("hot", 8997, 1)]
+
+
+def test_group_top_cuts_before_the_shuffle(groups):
+    text = plan_of(group_top(groups, "key", "value"))
+    assert text.index("WindowGroupLimit") < text.index("Exchange") < text.rindex("WindowGroupLimit")
+    # Beyond Spark's limit for the early cut the groups are split by salt.
+    assert plan_of(group_top(groups, "key", "value", k=2000)).count("Exchange") == 2
