@@ -32,15 +32,17 @@ def positional_table(
     """
     if on_short not in ("fail", "drop"):
         raise ValueError(f"on_short must be 'fail' or 'drop', not {on_short!r}")
-    parts = fields_of(F.col(column), sep)
     needed = 1 + max(index for _, index in fields)
-    enough = F.size(parts) >= needed
+    # The one-element explode cuts the line once, for the check and for all columns.
+    cut = lines.where(F.col(column).isNotNull()).select(
+        F.explode(F.array(fields_of(F.col(column), sep))).alias("parts")
+    )
+    enough = F.size("parts") >= needed
     if on_short == "fail":
-        enough = keep_or_raise(
-            enough, F.concat(F.lit(f"line with fewer than {needed} fields: "), F.col(column))
-        )
-    return lines.where(F.col(column).isNotNull()).where(enough).select(
-        *[F.get(parts, F.lit(index)).alias(name) for name, index in fields]
+        message = F.lit(f"line with fewer than {needed} fields: ")
+        enough = keep_or_raise(enough, F.concat(message, F.array_join("parts", sep)))
+    return cut.where(enough).select(
+        *[F.get("parts", F.lit(index)).alias(name) for name, index in fields]
     )
 
 
