@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from clickflow.sinks.files import BatchSink
 
+_PARTITIONS_SETTING = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """The setting while a stream starts; the stream keeps its own copy of it."""
+    before = spark.conf.get(_PARTITIONS_SETTING)
+    try:
+        if number is not None:
+            spark.conf.set(_PARTITIONS_SETTING, number)
+        yield
+    finally:
+        spark.conf.set(_PARTITIONS_SETTING, before)
+
 
 def start(
     stream: DataFrame,
@@ -15,12 +32,17 @@ def start(
     output_mode: str = "append",
     interval: str | None = None,
     fmt: str = "parquet",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the stream, or continue where the checkpoint stands.
 
     ``sink`` is a ``foreachBatch`` function or the path of a directory to append files to.
     ``interval`` ("5 seconds") is the time between batches; without it the stream works off what
     is there and ends. The checkpoint must be in a folder that all executors share.
+
+    ``state_partitions`` is the number of pieces the state is kept in. The first start writes it
+    into the checkpoint and it cannot be changed later, nor does adaptive execution apply, so it
+    should suit the number of keys expected; the default is the session's shuffle setting.
     """
     writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if interval is None:
@@ -28,8 +50,11 @@ def start(
     else:
         writer = writer.trigger(processingTime=interval)
     if isinstance(sink, str):
-        return writer.format(fmt).option("path", sink).start()
-    return writer.foreachBatch(sink).start()
+        writer = writer.format(fmt).option("path", sink)
+    else:
+        writer = writer.foreachBatch(sink)
+    with _shuffle_partitions(stream.sparkSession, state_partitions):
+        return writer.start()
 
 
 def run(
@@ -39,6 +64,7 @@ def run(
     output_mode: str = "append",
     interval: str | None = None,
     fmt: str = "parquet",
+    state_partitions: int | None = None,
     timeout: float | None = None,
 ) -> bool:
     """Start the stream and wait until it ends or ``timeout`` seconds have passed.
@@ -46,7 +72,7 @@ def run(
     After the timeout the stream is stopped. Returns whether it ended by itself; an error of the
     stream is raised here.
     """
-    query = start(stream, checkpoint, sink, output_mode, interval, fmt)
+    query = start(stream, checkpoint, sink, output_mode, interval, fmt, state_partitions)
     try:
         ended = query.awaitTermination() if timeout is None else query.awaitTermination(timeout)
         return ended is not False

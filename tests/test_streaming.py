@@ -59,6 +59,23 @@ def test_nothing_new_after_a_restart(spark, dirs):
     assert batches(spark, out) == [(0, "a", 1)]
 
 
+def test_state_partitions(spark, dirs):
+    inbox, checkpoint, out = dirs
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    deliver(inbox, "1.txt", "a b\na\n")
+    query = streaming.start(
+        streaming.running_word_count(streaming.file_lines(spark, str(inbox))),
+        checkpoint,
+        sinks.batch_files(out),
+        output_mode="update",
+        state_partitions=3,
+    )
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert batches(spark, out) == [(0, "a", 2), (0, "b", 1)]
+
+
 def test_batches_into_a_table(spark, dirs, tmp_path):
     inbox, checkpoint, _ = dirs
     url = f"jdbc:derby:;databaseName={tmp_path}/db;create=true"

@@ -297,6 +297,16 @@ def _two_deliveries(
         run(streaming.file_lines(spark, inbox), checkpoint)
 
 
+def _state_partitions(spark: SparkSession, sf_dir: str, name: str, rows_each: int) -> int:
+    """Pieces of state for a stream over a table, from its row count (no column is read).
+
+    Never more than the session's shuffle setting, which fits the size of the cluster.
+    """
+    counted = operators.row_count(inputs.table(spark, sf_dir, name)).first()["cnt"]
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(8, counted // rows_each))
+
+
 def stream_batch_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_dir(spark, "batches")
     sink = streaming.batch_word_count(sinks.batch_files(out))
@@ -315,9 +325,11 @@ def sink_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _running(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     out = fresh_dir(spark, "running")
     sink = sinks.batch_files(out)
+    pieces = _state_partitions(spark, sf_dir, "documents", rows_each=20_000)
 
     def run(lines: DataFrame, checkpoint: str) -> None:
-        streaming.run(streaming.running_word_count(lines), checkpoint, sink, output_mode=mode)
+        counts = streaming.running_word_count(lines)
+        streaming.run(counts, checkpoint, sink, output_mode=mode, state_partitions=pieces)
 
     _two_deliveries(spark, sf_dir, run)
     # Counts only grow, so the latest one of a word is its highest.
@@ -341,7 +353,8 @@ def stream_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     utc = F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")
     timed = events.select("event_type", utc.alias("ts"))
     counts = streaming.window_count(timed, "ts", "event_type", "12 hours", "6 hours", "10 minutes")
-    streaming.run(counts, checkpoint, out)
+    pieces = _state_partitions(spark, sf_dir, "events", rows_each=1_000_000)
+    streaming.run(counts, checkpoint, out, state_partitions=pieces)
     return spark.read.parquet(out).select(
         F.unix_seconds("window_start").alias("window_start"),
         F.unix_seconds("window_end").alias("window_end"),
