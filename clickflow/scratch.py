@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"clickflow-{application}-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -20,8 +26,7 @@ def shared_root(spark: SparkSession) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="clickflow-")
-        spark.conf.set(_SETTING, root)
+        root = _local_root(spark.sparkContext.applicationId)
     return root.rstrip("/")
 
 

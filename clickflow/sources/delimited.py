@@ -52,5 +52,8 @@ def group_pairs(lines: DataFrame, on_short: OnShort = "fail", column: str = "val
     ``on_short`` also decides about a value that is no int.
     """
     pairs = positional_table(lines, " ", [("key", 0), ("raw", 1)], on_short, column)
-    value = F.col("raw").cast("int") if on_short == "fail" else F.col("raw").try_cast("int")
-    return pairs.select("key", value.alias("value")).where(F.col("value").isNotNull())
+    value = F.col("raw").try_cast("int")
+    is_int = value.isNotNull()
+    if on_short == "fail":
+        is_int = keep_or_raise(is_int, F.concat(F.lit("no int: "), F.col("raw")))
+    return pairs.where(is_int).select("key", value.alias("value"))

@@ -185,13 +185,24 @@ def test_scratch_folders(spark):
     assert first.startswith(root + "/x-")
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
-    class Conf(dict):
-        def get(self, key, default=None):
-            return default
+def test_scratch_is_local_only_where_nothing_is_set():
+    class Local:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "local[2]"
+            applicationId = "some-app"
 
+    root = scratch.shared_root(Local())
+    assert root == scratch.shared_root(Local())
+    assert "some-app" in root
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
     class Cluster:
-        conf = Conf()
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
 
         class sparkContext:
             master = "yarn"
