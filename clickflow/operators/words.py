@@ -48,7 +48,8 @@ def drop_stop(
     """Words that are no stop token. Only whole tokens match: ``,`` goes, ``word,`` stays.
 
     The list is written into the query; a table (its first column) is broadcast once per executor
-    if its measured size allows, else anti-joined with the frequent words salted.
+    if its measured size allows, else anti-joined with the frequent words salted. For counts, drop
+    the stop tokens of a table from the counts: the join then meets each word only once.
     """
     if not isinstance(stop, DataFrame):
         return words.where(~F.col(column).isin(list(stop)))

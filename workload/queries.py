@@ -105,8 +105,8 @@ def word_count_stop_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_count_stop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stop = inputs.stop_table(spark, sf_dir)
-    return operators.word_count(operators.drop_stop(words(spark, sf_dir), stop))
+    # Counted first: the join then sees each word once, however frequent it is.
+    return operators.drop_stop(word_count(spark, sf_dir), inputs.stop_table(spark, sf_dir))
 
 
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
