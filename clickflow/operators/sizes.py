@@ -12,7 +12,10 @@ _FIXED_WIDTH = 16
 
 
 def broadcast_bytes(df: DataFrame) -> int:
-    """Measured size of the table as join rows: one distributed aggregate, one number back."""
+    """Measured size of the table as join rows: one distributed aggregate, one number back.
+
+    The aggregate computes the table once more; cache a table that is costly to compute.
+    """
     fixed = _ROW_OVERHEAD + _FIXED_WIDTH * len(df.columns)
     widths = [
         F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
