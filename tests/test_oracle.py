@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,7 @@ def oracle(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(oracle_sql())
 
 
 _TYPES = {
@@ -28,11 +29,12 @@ _TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
     "double": "DOUBLE",
+    "boolean": "BOOLEAN",
     "date": "DATE",
 }
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_oracle(spark, oracle, sf_dir, name):
     result = queries()[name](spark, sf_dir)
     expected = oracle.execute(oracle_sql()[name])
