@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+from clickflow.llm.bpe import op3_byte_bpe
+from clickflow.llm.line_dedup import op2_line_dedup
+from clickflow.llm.near_dedup import op6_near_dedup
 from clickflow.llm.packing import op9_packing
+from clickflow.llm.quality_rules import OP1_SQL, op1_quality_rules
 from clickflow.llm.token_files import op10_token_files
+from clickflow.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_warc": op4_warc,
+    "op6_near_dedup": op6_near_dedup,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
 }
 
 #: DuckDB SQL where SQL can express a query.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": OP1_SQL,
+    "op4_warc": OP4_SQL,
+}
