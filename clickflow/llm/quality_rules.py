@@ -16,7 +16,7 @@ from clickflow.llm.shared import documents, written
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_SYMBOL_PERCENT = 10
-MAX_DUP_LINE_PERCENT = 30
+MAX_DUP_LINE_PERCENT = 50
 MIN_WORD_CHARS, MAX_WORD_CHARS = 2, 15
 #: A host is rejected if more than this share of its documents fails, after shrinking.
 MAX_HOST_RATE = 0.5
@@ -175,7 +175,7 @@ with d as (
   from w left join c using (r)
 ), t as (
   select *, n_words < 50 as a, 100 * n_repeat_words > 50 * n_words as b, 100 * n_symbols > 10 * n_words as e,
-         100 * n_dup_lines > 30 * n_lines as f, word_chars < 2 * n_words or word_chars > 15 * n_words as l
+         100 * n_dup_lines > 50 * n_lines as f, word_chars < 2 * n_words or word_chars > 15 * n_words as l
   from m
 ), s as (
   select source, cast(count(*) as double) as n,
