@@ -6,16 +6,12 @@ DataFrame operations alone. Links, groups and buckets stay distributed; the driv
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm.shared import written
 
-#: All cross pairs of the open buckets are checked at once when they are at most so many per member.
-PAIRS_PER_MEMBER = 4
-
 
 def components(edges: DataFrame) -> DataFrame:
     """``id, component`` of every node of ``a, b`` that is not the smallest of its component.
@@ -67,14 +63,18 @@ def _relabel(edges: DataFrame, end: str, parent: DataFrame) -> DataFrame:
     return edges.join(new, end, "left").select(F.coalesce("component", end).alias(end), other)
 
 
-def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Groups of the rows of ``key, id`` joined by pairs in one bucket that ``verify`` lets pass.
+def link_buckets(
+    buckets: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    cross: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``components`` of the rows of ``key, id``, joined by pairs in one bucket that ``verify`` lets pass.
 
-    Returns ``components`` of the links and the links ``a, b`` that were found. Every bucket's members are
-    checked against its smallest one. Buckets whose members are then in one group are done, as no
-    further link could change it. In the others, either all pairs across groups are checked, if they are
-    few beside the members, or the next smallest member is: every pass is linear, and in the end each pair
-    in a bucket has been checked or lies in one group. ``verify`` gets distinct ``a > b`` once each.
+    First, every bucket's members are checked against its smallest one. Buckets whose members are then in one
+    group are done: no further link could change it, so copies are never paired with each other. For the
+    others, ``cross`` gets the members as ``key, id, component`` and returns the pairs ``a > b`` of one bucket and two
+    groups that pass its cheap test; it must lose no pair that ``verify`` would let pass. ``verify`` gets distinct
+    ``a > b``, each once.
     """
     shared = (
         buckets.groupBy("key")
@@ -84,60 +84,23 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
     )
     members = written(buckets.join(shared, "key").select("key", "id", "hub"), "members")
     pairs = members.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-    tested: list[DataFrame] = []
-    links: list[DataFrame] = []
-    last = False
-    while True:
-        pairs = pairs.distinct()
-        if tested:
-            pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        links.append(written(verify(pairs).select("a", "b"), "links"))
-        tested.append(pairs)
-        found = reduce(DataFrame.unionByName, links)
-        labels = components(found)
-        if last:
-            return labels, found
-        # No bucket member below its hub is left to check, so it leaves the bucket with the hub.
-        grouped = members.join(labels, "id", "left").select(
-            "key", "id", "hub", F.coalesce("component", "id").alias("component")
-        )
-        opened = (
-            grouped.groupBy("key")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .where("low < high")
-            .select("key")
-        )
-        members = written(grouped.where("id > hub").join(opened, "key"), "members")
-        sizes = members.groupBy("key", "component").agg(F.count("*").alias("n"))
-        cross = sizes.groupBy("key").agg(
-            F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same")
-        )
-        total = cross.agg(
-            F.coalesce(F.sum("all"), F.lit(0)).alias("members"),
-            F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2), F.lit(0)).alias("pairs"),
-        ).first()
-        if total["pairs"] == 0:
-            return labels, found
-        if total["pairs"] <= PAIRS_PER_MEMBER * total["members"]:
-            other = members.select("key", F.col("id").alias("b"), F.col("component").alias("other"))
-            pairs = (
-                members.join(other, "key")
-                .where("id > b and component <> other")
-                .select(F.col("id").alias("a"), "b")
-            )
-            last = True
-        else:
-            hubs = members.groupBy("key").agg(
-                F.min(F.struct("id", F.col("component").alias("hub_component"))).alias("next")
-            )
-            members = written(
-                members.drop("hub").join(hubs, "key").select(
-                    "key", "id", "component", F.col("next.id").alias("hub"), "next.hub_component"
-                ),
-                "members",
-            )
-            pairs = members.where("id > hub and component <> hub_component").select(
-                F.col("id").alias("a"), F.col("hub").alias("b")
-            )
-            members = members.select("key", "id", "hub")
+    tested = written(pairs.distinct(), "pairs")
+    links = written(verify(tested).select("a", "b"), "links")
+    labels = components(links)
+    grouped = members.join(labels, "id", "left").select(
+        "key", "id", "hub", F.coalesce("component", "id").alias("component")
+    )
+    # The hub has met all others. What is left of a bucket is open if it lies in more than one group.
+    rest = grouped.where("id > hub")
+    opened = (
+        rest.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high")
+        .select("key")
+    )
+    rest = written(rest.join(opened, "key").select("key", "id", "component"), "open-members")
+    if rest.isEmpty():
+        return labels
+    new = written(cross(rest).distinct().join(tested, ["a", "b"], "left_anti"), "cross-pairs")
+    more = written(verify(new).select("a", "b"), "links")
+    return labels if more.isEmpty() else components(links.unionByName(more))

@@ -26,7 +26,8 @@ from clickflow.llm.shared import documents, written
 WORDS = 5
 BANDS = 16
 BAND_REGISTERS = 4
-REGISTERS = BANDS * BAND_REGISTERS
+#: The bands take the first 64 registers; all of them serve the estimate.
+REGISTERS = 256
 #: Base, rate and largest register of the sketch: steps of 0.1 % in two bytes.
 BASE, RATE, TOP = 1.001, 20.0, 65_535
 #: Estimates so many standard deviations below the threshold are not checked further.
@@ -66,8 +67,8 @@ def shingles(text: str | None) -> np.ndarray:
 def registers(hashes: np.ndarray) -> np.ndarray:
     """The sketch of a set of 64-bit hashes, as 16-bit registers."""
     least = np.full(REGISTERS, 2**64 - 1, dtype=np.uint64)
-    for start in range(0, len(hashes), 4096):
-        part = hashes[start : start + 4096, None] * _MULTIPLY + _ADD
+    for start in range(0, len(hashes), 256):
+        part = hashes[start : start + 256, None] * _MULTIPLY + _ADD
         np.minimum(least, part.min(axis=0), out=least)
     smallest = -np.log1p(-np.minimum((least.astype(np.float64) + 0.5) / 2.0**64, 1 - 1e-16)) / RATE
     return np.clip(np.floor(1 - np.log(smallest) / math.log(BASE)), 0, TOP).astype("<u2")
@@ -125,6 +126,53 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), lists], ["id", "items"])
 
 
+#: Members of an open bucket are compared in blocks of about so many.
+BLOCK_MEMBERS = 2_048
+_CHUNK_PAIRS = 8_192
+
+
+def _block_pairs(members: pa.Table, floor: float, percent: int) -> pa.Table:
+    """Pairs of one block of members, or of two, whose estimate reaches ``floor``."""
+    ids, component, n, side = (members.column(c).to_numpy() for c in ("id", "component", "n", "side"))
+    sketch = np.frombuffer(b"".join(members.column("sketch").to_pylist()), "<u2").reshape(-1, REGISTERS)
+    order = np.lexsort((ids, n))
+    ids, component, n, side, sketch = ids[order], component[order], n[order], side[order], sketch[order]
+    # Sizes ascend: who is large enough for a row to reach the threshold with it ends where sizes are too large.
+    ends = np.searchsorted(n * percent, n * 100, side="right")
+    single = side.min() == side.max()
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    left: list[np.ndarray] = []
+    right: list[np.ndarray] = []
+
+    def flush() -> None:
+        i, j = np.concatenate(left), np.concatenate(right)
+        for start in range(0, len(i), _CHUNK_PAIRS):
+            x, y = i[start : start + _CHUNK_PAIRS], j[start : start + _CHUNK_PAIRS]
+            good = estimate(sketch[x], sketch[y], n[x].astype(np.float64), n[y].astype(np.float64)) >= floor
+            out.append((np.maximum(ids[x], ids[y])[good], np.minimum(ids[x], ids[y])[good]))
+        left.clear()
+        right.clear()
+
+    waiting = 0
+    # Equal registers alone bound the estimate from above, near enough to pass over most pairs at once.
+    for i in range(len(ids) - 1):
+        j = np.arange(i + 1, ends[i])
+        j = j[(component[j] != component[i]) & (single | (side[j] != side[i]))]
+        if len(j):
+            j = j[(sketch[j] == sketch[i]).mean(axis=1) >= floor - 0.05]
+        if len(j):
+            left.append(np.full(len(j), i))
+            right.append(j)
+            waiting += len(j)
+            if waiting >= _CHUNK_PAIRS:
+                flush()
+                waiting = 0
+    if left:
+        flush()
+    a, b = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 2
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def _likely(floor: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +250,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             .distinct()
         )
 
-    labels, _ = link_buckets(buckets, verify)
+    def cross(members: DataFrame) -> DataFrame:
+        blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).cast("long").alias("blocks"))
+        dealt = (
+            members.join(blocks, "key")
+            .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            .select("key", "id", "component", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+        )
+        known = classes.select("id", "n", "sketch")
+        return (
+            dealt.join(known, "id")
+            .groupBy("key", "i", "j")
+            .applyInArrow(lambda table: _block_pairs(table, floor, percent), "a long, b long")
+        )
+
+    labels = link_buckets(buckets, verify, cross)
     named = classes.select("set_high", "set_low", "id").join(labels, "id", "left").select(
         "set_high", "set_low", F.coalesce("component", "id").alias("component_id")
     )
