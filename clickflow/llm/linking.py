@@ -70,11 +70,10 @@ def link_buckets(
 ) -> DataFrame:
     """``components`` of the rows of ``key, id``, joined by pairs in one bucket that ``verify`` lets pass.
 
-    First, every bucket's members are checked against its smallest one. Buckets whose members are then in one
-    group are done: no further link could change it, so copies are never paired with each other. For the
-    others, ``cross`` gets the members as ``key, id, component`` and returns the pairs ``a > b`` of one bucket and two
-    groups that pass its cheap test; it must lose no pair that ``verify`` would let pass. ``verify`` gets distinct
-    ``a > b``, each once.
+    First, every bucket's members are checked against its smallest one; ``verify`` gets distinct ``a > b``. Buckets
+    whose members are then in one group are done: no further link could change it, so copies are never
+    paired with each other. For the others, ``cross`` gets the members as ``key, id, component`` and returns links
+    ``a, b`` that pass the same check, enough to join all members of a bucket that links can join.
     """
     shared = (
         buckets.groupBy("key")
@@ -101,6 +100,5 @@ def link_buckets(
     rest = written(rest.join(opened, "key").select("key", "id", "component"), "open-members")
     if rest.isEmpty():
         return labels
-    new = written(cross(rest).distinct().join(tested, ["a", "b"], "left_anti"), "cross-pairs")
-    more = written(verify(new).select("a", "b"), "links")
+    more = written(cross(rest).select("a", "b").distinct(), "links")
     return labels if more.isEmpty() else components(links.unionByName(more))

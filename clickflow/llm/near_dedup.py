@@ -126,51 +126,49 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), lists], ["id", "items"])
 
 
-#: Members of an open bucket are compared in blocks of about so many.
+#: Members of an open bucket are compared in blocks of about so many members or shingles, whichever is fewer.
 BLOCK_MEMBERS = 2_048
-_CHUNK_PAIRS = 8_192
+BLOCK_SHINGLES = 1 << 20
 
 
-def _block_pairs(members: pa.Table, floor: float, percent: int) -> pa.Table:
-    """Pairs of one block of members, or of two, whose estimate reaches ``floor``."""
+def _block_links(members: pa.Table, floor: float, percent: int) -> pa.Table:
+    """Links among one block of members, or between two, that join different groups.
+
+    Sketches choose whom to compare; sets decide. Members that a link found here has joined are not
+    compared again, so a block gives fewer links than it has members.
+    """
     ids, component, n, side = (members.column(c).to_numpy() for c in ("id", "component", "n", "side"))
     sketch = np.frombuffer(b"".join(members.column("sketch").to_pylist()), "<u2").reshape(-1, REGISTERS)
+    lists = members.column("items").combine_chunks()
+    offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
     order = np.lexsort((ids, n))
-    ids, component, n, side, sketch = ids[order], component[order], n[order], side[order], sketch[order]
-    # Sizes ascend: who is large enough for a row to reach the threshold with it ends where sizes are too large.
+    component, n, side, sketch = component[order].copy(), n[order], side[order], sketch[order]
+    # Sizes ascend: who is small enough for a row to reach the threshold with it comes before this place.
     ends = np.searchsorted(n * percent, n * 100, side="right")
     single = side.min() == side.max()
-    out: list[tuple[np.ndarray, np.ndarray]] = []
-    left: list[np.ndarray] = []
-    right: list[np.ndarray] = []
-
-    def flush() -> None:
-        i, j = np.concatenate(left), np.concatenate(right)
-        for start in range(0, len(i), _CHUNK_PAIRS):
-            x, y = i[start : start + _CHUNK_PAIRS], j[start : start + _CHUNK_PAIRS]
-            good = estimate(sketch[x], sketch[y], n[x].astype(np.float64), n[y].astype(np.float64)) >= floor
-            out.append((np.maximum(ids[x], ids[y])[good], np.minimum(ids[x], ids[y])[good]))
-        left.clear()
-        right.clear()
-
-    waiting = 0
-    # Equal registers alone bound the estimate from above, near enough to pass over most pairs at once.
-    for i in range(len(ids) - 1):
+    sizes = n.astype(np.float64)
+    links = []
+    for i in range(len(order) - 1):
         j = np.arange(i + 1, ends[i])
         j = j[(component[j] != component[i]) & (single | (side[j] != side[i]))]
         if len(j):
+            # Equal registers alone come near enough to the estimate to pass over most at once.
             j = j[(sketch[j] == sketch[i]).mean(axis=1) >= floor - 0.05]
         if len(j):
-            left.append(np.full(len(j), i))
-            right.append(j)
-            waiting += len(j)
-            if waiting >= _CHUNK_PAIRS:
-                flush()
-                waiting = 0
-    if left:
-        flush()
-    a, b = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 2
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            mine = np.broadcast_to(sketch[i], (len(j), REGISTERS))
+            j = j[estimate(mine, sketch[j], np.broadcast_to(sizes[i], len(j)), sizes[j]) >= floor]
+        own = values[offsets[order[i]] : offsets[order[i] + 1]]
+        for k in j.tolist():
+            if component[k] == component[i]:
+                continue
+            other = values[offsets[order[k]] : offsets[order[k] + 1]]
+            common = len(np.intersect1d(own, other, assume_unique=True))
+            if 100 * common >= percent * (len(own) + len(other) - common):
+                x, y = int(ids[order[i]]), int(ids[order[k]])
+                links.append((max(x, y), min(x, y)))
+                component[component == component[k]] = component[i]
+    columns = list(zip(*links, strict=True)) or [(), ()]
+    return pa.table([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
 
 def _likely(floor: float):
@@ -220,6 +218,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     share = percent / 100
     floor = share - SLACK * math.sqrt(share * (1 - share) / REGISTERS)
 
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """``id, items`` for classes by their ``id``, from the whole texts."""
+        wanted = ids.select(F.col("id").alias("doc_id")).distinct()
+        held = rows.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "id long, items array<long>")
+        return written(held, "sets")
+
     def verify(pairs: DataFrame) -> DataFrame:
         def side(end: str) -> DataFrame:
             return classes.select(
@@ -234,10 +238,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             .mapInArrow(_likely(floor), "a long, b long")
         )
         near = written(near.distinct(), "likely")
-        wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-        sets = written(
-            rows.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "id long, items array<long>"), "sets"
-        )
+        sets = sets_of(near.select(F.col("a").alias("id")).union(near.select("b")))
         both = near.join(sets.select(F.col("id").alias("a"), F.col("items").alias("items_a")), "a").join(
             sets.select(F.col("id").alias("b"), F.col("items").alias("items_b")), "b"
         )
@@ -251,18 +252,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         )
 
     def cross(members: DataFrame) -> DataFrame:
-        blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).cast("long").alias("blocks"))
+        known = classes.select("id", "n", "sketch")
+        sized = members.join(classes.select("id", "n"), "id")
+        need = F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum("n") / BLOCK_SHINGLES)
+        blocks = sized.groupBy("key").agg(F.ceil(need).cast("long").alias("blocks"))
         dealt = (
             members.join(blocks, "key")
             .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
             .select("key", "id", "component", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
         )
-        known = classes.select("id", "n", "sketch")
         return (
-            dealt.join(known, "id")
+            dealt.join(known.join(sets_of(members), "id"), "id")
             .groupBy("key", "i", "j")
-            .applyInArrow(lambda table: _block_pairs(table, floor, percent), "a long, b long")
+            .applyInArrow(lambda table: _block_links(table, floor, percent), "a long, b long")
         )
 
     labels = link_buckets(buckets, verify, cross)
