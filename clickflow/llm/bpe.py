@@ -1,7 +1,7 @@
 """Byte-level BPE over a whole corpus: each distinct word is merged once.
 
 Documents are split into pre-tokens block by block. A pre-token that is itself a token has its id at
-once. The others get numbers within their block, in the order of (hash bucket, word); their positions stay
+once. The others get numbers within their block, in the order of their hash buckets; their positions stay
 with the block as number sequences. Each block sends its distinct words to the buckets, where
 every distinct word of the corpus is merged once; the ids go back to the blocks and take the place of
 the numbers. Blocks lie in a bucketed table, so that only words and their ids are shuffled.
@@ -18,10 +18,12 @@ import hashlib
 import itertools
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +33,7 @@ from clickflow.llm.shared import documents, written
 from clickflow.llm.tokens import id_lists, slices, splitter, texts_of
 from clickflow.scratch import fresh_dir
 
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 4 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -97,12 +99,14 @@ class _Block:
 
     def rows(self, block: int, buckets: int) -> Iterator[tuple]:
         """``block, bucket, doc_id, body``: words by bucket, then documents with bucket -1."""
-        place = [(zlib.crc32(w) % buckets, w) for w in self.own]
-        order = sorted(range(len(place)), key=place.__getitem__)
+        place = np.fromiter(map(zlib.crc32, self.own), dtype=np.uint32, count=len(self.own)) % buckets
+        order = np.argsort(place, kind="stable")
         number = np.empty(len(order), dtype="<u4")
         number[order] = np.arange(self.limit, self.limit + len(order), dtype="<u4")
-        for bucket, members in itertools.groupby(order, key=lambda i: place[i][0]):
-            yield block, bucket, None, pack_ragged([self.own[i] for i in members])
+        for members in np.split(order, np.flatnonzero(np.diff(place[order])) + 1):
+            if len(members):
+                words = [self.own[i] for i in members.tolist()]
+                yield block, int(place[members[0]]), None, pack_ragged(words)
         for doc_id, codes in zip(self.doc_ids, self.docs, strict=True):
             own = codes >= self.limit
             codes[own] = number[codes[own] - self.limit]
@@ -166,7 +170,7 @@ def _merge_words(words: DataFrame, ranks: str) -> DataFrame:
                     at += length
                     found = memo.get(word)
                     if found is None:
-                        found = memo[word] = np.array(merge(word), dtype="<u4").tobytes()
+                        found = memo[word] = array("I", merge(word)).tobytes()
                     ids.append(found)
                 bodies.append(pack_ragged(ids, 4))
             yield pa.RecordBatch.from_arrays(
@@ -244,29 +248,41 @@ def decode(tokens: DataFrame, ranks: str) -> DataFrame:
     that the file does not have stops the job. A null list has no bytes.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _once("bytes", ranks, lambda: {r: t for t, r in read_ranks(ranks).items()})
-        get = table.__getitem__
-        for part in slices(batches):
-            out = [b"".join(map(get, ids or ())) for ids in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(out, pa.binary())], ["doc_id", "ids", "bytes"]
-            )
+    return tokens.select("doc_id", "ids").mapInArrow(
+        lambda batches: _decoded(batches, ranks), "doc_id long, ids array<int>, bytes binary"
+    )
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, bytes binary")
+
+def _byte_table(ranks: str) -> np.ndarray:
+    known = read_ranks(ranks)
+    table = np.full(max(known.values()) + 1, None, dtype=object)
+    for token, rank in known.items():
+        table[rank] = token
+    return table
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.RecordBatch]:
+    table = _once("bytes", ranks, lambda: _byte_table(ranks))
+    for part in slices(batches):
+        ids = part.column(1)
+        found = table[ids.flatten().to_numpy(zero_copy_only=False)].tolist()
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))
+        out = [b"".join(found[a:b]) for a, b in itertools.pairwise([0, *ends.tolist()])]
+        yield pa.RecordBatch.from_arrays(
+            [part.column(0), ids, pa.array(out, pa.binary())], ["doc_id", "ids", "bytes"]
+        )
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(1)
-        offsets = ids.offsets.to_numpy()
-        data = memoryview(ids.values.to_numpy().astype("<u4", copy=False)).cast("B")
-        sums = [
-            hashlib.sha256(data[4 * a : 4 * b]).hexdigest() for a, b in itertools.pairwise(offsets.tolist())
-        ]
-        counts = pa.array(np.diff(offsets).astype(np.int64))
+        counts = pc.list_value_length(ids).cast(pa.int64())
+        data = memoryview(ids.flatten().to_numpy().astype("<u4", copy=False)).cast("B")
+        ends = [0, *np.cumsum(4 * counts.to_numpy()).tolist()]
+        sums = [hashlib.sha256(data[a:b]).hexdigest() for a, b in itertools.pairwise(ends)]
+        decoded = [hashlib.sha256(b).hexdigest() for b in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), counts, pa.array(sums), batch.column(2)],
+            [batch.column(0), counts, pa.array(sums, pa.string()), pa.array(decoded, pa.string())],
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
         )
 
@@ -275,7 +291,8 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    decoded = decode(encode(documents(spark, sf_dir), ranks), ranks)
-    return decoded.select("doc_id", "ids", F.sha2("bytes", 256).alias("decoded")).mapInArrow(
-        _digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    # Decoded and digested in one pass over the ids.
+    return encode(documents(spark, sf_dir), ranks).mapInArrow(
+        lambda batches: _digests(_decoded(batches, ranks)),
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
     )
