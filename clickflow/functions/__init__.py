@@ -1,4 +1,4 @@
-from clickflow.functions.sel_max import combined_for_sel_max, sel_max
+from clickflow.functions.sel_max import sel_max, sel_max_sql
 from clickflow.functions.sql_names import register_functions
 
-__all__ = ["combined_for_sel_max", "register_functions", "sel_max"]
+__all__ = ["register_functions", "sel_max", "sel_max_sql"]

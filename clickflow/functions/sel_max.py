@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clickflow.operators.salting import task_salt
-
 
 def _no_nan(column: str | Column) -> Column:
     value = (F.col(column) if isinstance(column, str) else column).cast("double")
@@ -20,19 +16,7 @@ def sel_max(column: str | Column) -> Column:
     return F.greatest(F.coalesce(F.max(_no_nan(column)), F.lit(0.0)), F.lit(0.0))
 
 
-def combined_for_sel_max(
-    df: DataFrame, keys: Sequence[str], column: str, parts: int = 1024
-) -> DataFrame:
-    """The table cut down to at most ``parts`` rows per key, with the same ``sel_max`` per key.
-
-    The SQL name ``sel_max`` is a Python aggregate, which gets all rows of a group at once. Over
-    this table a group holds at most ``parts`` rows whatever the size of the data, because the
-    maxima of each part are taken natively, before and after the shuffle.
-    """
-    part = "_part"
-    return (
-        df.withColumn(part, task_salt(parts))
-        .groupBy(*keys, part)
-        .agg(F.max(_no_nan(column)).alias(column))
-        .drop(part)
-    )
+def sel_max_sql(expression: str) -> str:
+    """The same as a fragment of SQL text, for any numeric expression, beside any other aggregate."""
+    value = f"cast(({expression}) as double)"
+    return f"greatest(coalesce(max(if(isnan({value}), null, {value})), 0.0D), 0.0D)"

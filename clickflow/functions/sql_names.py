@@ -2,31 +2,20 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 # The SQL names and the built-ins they stand for.
 _CASE_FUNCTIONS = {"toUpper": "upper", "toLower": "lower"}
 
 
 def register_functions(spark: SparkSession) -> None:
-    """Register ``toUpper``, ``toLower`` and ``sel_max`` in this session.
+    """Register ``toUpper`` and ``toLower`` in this session.
 
-    The first two are SQL functions that the optimizer replaces by the built-in. SQL functions may
-    not aggregate, so ``sel_max`` is a grouped pandas function; see ``combined_for_sel_max`` for
-    the input to give it when groups are large.
+    They are SQL functions that the optimizer replaces by the built-in. SQL functions may not aggregate, so
+    ``sel_max`` has no name of its own: put ``sel_max_sql("expression")`` into the SQL text.
     """
     for name, builtin in _CASE_FUNCTIONS.items():
         spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(word STRING) "
             f"RETURNS STRING RETURN {builtin}(word)"
         )
-
-    # Defined here so that it is shipped by value: executors need no copy of this package.
-    @F.pandas_udf("double")
-    def sel_max(values: pd.Series) -> float:
-        highest = values.max()
-        return float(highest) if highest > 0 else 0.0
-
-    spark.udf.register("sel_max", sel_max)

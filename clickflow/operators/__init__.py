@@ -1,6 +1,6 @@
 from clickflow.operators.lookup import dim_join, dim_lookup
 from clickflow.operators.predicates import non_blank
-from clickflow.operators.sizes import broadcast_bytes, fits_broadcast
+from clickflow.operators.sizes import broadcast_bytes, kept_if_small
 from clickflow.operators.tables import cached, cached_view, register, row_count
 from clickflow.operators.topk import group_top, group_top_list, top_by
 from clickflow.operators.words import STOP_TOKENS, drop_stop, lines_of, word_count, words
@@ -13,9 +13,9 @@ __all__ = [
     "dim_join",
     "dim_lookup",
     "drop_stop",
-    "fits_broadcast",
     "group_top",
     "group_top_list",
+    "kept_if_small",
     "lines_of",
     "non_blank",
     "register",

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.operators.checks import keep_or_raise
-from clickflow.operators.salting import DEFAULT_SALT, salted_join
-from clickflow.operators.sizes import DEFAULT_BROADCAST_BYTES, fits_broadcast
+from clickflow.operators.salting import DEFAULT_HOT_ROWS, DEFAULT_SALT, salted_join
+from clickflow.operators.sizes import DEFAULT_BROADCAST_BYTES, kept_if_small
 
 _HIT = "_hit"
 
@@ -23,19 +23,21 @@ def dim_join(
     fact: DataFrame,
     dim: DataFrame,
     key: str | Sequence[str],
-    strategy: Literal["merge", "broadcast"] = "merge",
+    strategy: Literal["broadcast", "merge"] = "broadcast",
     salt: int = DEFAULT_SALT,
+    hot_rows: int = DEFAULT_HOT_ROWS,
     max_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner equi-join: duplicates multiply, misses drop.
 
-    ``merge`` shuffles both sides, with hot keys salted. ``broadcast`` does so only when the
-    measured dimension is within ``max_bytes``, and shuffles otherwise.
+    ``broadcast`` leaves the fact rows where they are if the measured dimension is within ``max_bytes``,
+    and shuffles otherwise. ``merge`` always shuffles both sides, with keys of more than ``hot_rows`` rows salted.
     """
     keys = _as_list(key)
-    if strategy == "broadcast" and fits_broadcast(dim, max_bytes):
-        return fact.join(F.broadcast(dim), keys, "inner")
-    return salted_join(fact, dim, keys, "inner", salt)
+    small = kept_if_small(dim, max_bytes) if strategy == "broadcast" else None
+    if small is not None:
+        return fact.join(F.broadcast(small), keys, "inner")
+    return salted_join(fact, dim, keys, "inner", salt, hot_rows)
 
 
 def _about_key(text: str, keys: list[str]) -> Column:
@@ -63,6 +65,7 @@ def dim_lookup(
     on_miss: Literal["fail", "drop", "null"] = "fail",
     order_by: str | None = None,
     salt: int = DEFAULT_SALT,
+    hot_rows: int = DEFAULT_HOT_ROWS,
     max_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Each fact row with the one dimension row of its key.
@@ -75,15 +78,15 @@ def dim_lookup(
     if on_miss not in ("fail", "drop", "null"):
         raise ValueError(f"on_miss must be 'fail', 'drop' or 'null', not {on_miss!r}")
     keys = _as_list(key)
-    small = fits_broadcast(dim, max_bytes)
     unique = _one_row_per_key(dim, keys, order_by)
     how = "inner" if on_miss == "drop" else "left"
     if on_miss == "fail":
         unique = unique.withColumn(_HIT, F.lit(True))
-    if small:
-        joined = fact.join(F.broadcast(unique), keys, how)
+    small = kept_if_small(unique, max_bytes)
+    if small is not None:
+        joined = fact.join(F.broadcast(small), keys, how)
     else:
-        joined = salted_join(fact, unique, keys, how, salt)
+        joined = salted_join(fact, unique, keys, how, salt, hot_rows)
     if on_miss != "fail":
         return joined
     message = _about_key("no dimension row for ", keys)

@@ -1,29 +1,51 @@
-"""Splitting hot join keys.
+"""Splitting hot keys.
 
-The large side gets a salt from the task that reads the row, the small side one copy of each row
-per salt, and both are joined on key and salt. A key that holds a third of all rows is then spread
-over ``salt`` tasks, and adaptive execution may split those further. The task number is the same
-when a lost task runs again, which a random draw after a shuffle would not be.
+The salt of a row is a hash of the columns that the caller names, so it is the same when a task runs again, and
+rows that earlier steps gathered by key are spread as well. Rows equal in all those columns stay together.
+In a join only hot keys are salted: a count of the large side, combined before its shuffle, names
+the keys with more than a given number of rows, and the small side is repeated for those alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
-DEFAULT_SALT = 8
+DEFAULT_SALT = 64
+#: Keys with more rows than this on the large side are hot.
+DEFAULT_HOT_ROWS = 1_000_000
 
 
-def task_salt(salt: int) -> Column:
-    return F.pmod(F.spark_partition_id(), F.lit(salt))
+def row_salt(salt: int, columns: Sequence[str]) -> Column:
+    """0 to ``salt - 1`` by the hash of these columns."""
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(salt)).cast("int")
 
 
 def salted_join(
-    large: DataFrame, small: DataFrame, keys: list[str], how: str, salt: int = DEFAULT_SALT
+    large: DataFrame,
+    small: DataFrame,
+    keys: list[str],
+    how: str,
+    salt: int = DEFAULT_SALT,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
+    """A shuffled join whose hot keys are spread over ``salt`` parts. ``salt`` below 2: a plain one.
+
+    The hot keys are few, at most one for every ``hot_rows`` rows of the large side. They are joined to both sides, where
+    Spark broadcasts them if their size allows.
+    """
     if salt < 2:
         return large.join(small.hint("merge"), keys, how)
-    left = large.withColumn(SALT, task_salt(salt))
-    right = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return left.join(right.hint("merge"), [*keys, SALT], how).drop(SALT)
+    hot = (
+        large.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+        .select(*keys, F.lit(True).alias("_hot"))
+    )
+    own = row_salt(salt, large.columns)
+    left = large.join(hot, keys, "left").withColumn(SALT, F.when(F.col("_hot"), own).otherwise(0))
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt - 1))).otherwise(F.array(F.lit(0)))
+    right = small.join(hot, keys, "left").withColumn(SALT, F.explode(copies)).drop("_hot")
+    joined = left.drop("_hot").join(right.hint("merge"), [*keys, SALT], how)
+    return joined.drop(SALT)

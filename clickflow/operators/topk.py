@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickflow.operators.salting import DEFAULT_SALT, SALT, task_salt
-
-_GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
+from clickflow.operators.salting import SALT
 
 
 def top_by(df: DataFrame, count_col: str, key_col: str, k: int) -> DataFrame:
@@ -20,28 +18,25 @@ def _ranked(df: DataFrame, keys: list[str], value: str, k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(by_value)).where(F.col("rank") <= k)
 
 
-def group_top(
-    df: DataFrame, key: str, value: str, k: int = 3, salt: int | None = None
-) -> DataFrame:
+def group_top(df: DataFrame, key: str, value: str, k: int = 3, salt: int = 0) -> DataFrame:
     """(key, value, rank) of the k highest values per key; equal values all count, nulls do not.
 
-    Spark cuts every task to k rows per key before the shuffle, so a hot key brings at most
-    k rows per task. ``salt=N`` first takes the top k of N parts of each key, which is exact
-    because the top k of a key are among the top k of its parts. For a k too large for Spark's
-    early cut the salted form is chosen here.
+    Equal rows are counted before the shuffle, so a key with few different values brings few rows. Spark
+    then cuts every task to k rows per key while k is within its own limit (1,000 unless set).
+    ``salt=N`` first takes the k highest different values of N parts of each key, which is exact because the
+    top k of a key are among those of its parts; choose it for a hot key with a k beyond that limit.
     """
-    if salt is None:
-        threshold = int(df.sparkSession.conf.get(_GROUP_LIMIT_SETTING, "1000"))
-        salt = DEFAULT_SALT if k > threshold else 0
     rows = df.select(key, value).where(F.col(value).isNotNull())
+    counted = rows.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
     if salt > 1:
-        rows = _ranked(rows.withColumn(SALT, task_salt(salt)), [key, SALT], value, k)
-    return _ranked(rows.select(key, value), [key], value, k)
+        part = F.pmod(F.xxhash64(value), F.lit(salt)).cast("int")
+        counted = _ranked(counted.withColumn(SALT, part), [key, SALT], value, k).drop(SALT, "rank")
+    highest = _ranked(counted, [key], value, k)
+    copies = F.explode(F.sequence(F.lit(1), F.least(F.col("_n"), F.lit(k)).cast("int")))
+    return _ranked(highest.select(key, value, copies.alias("_copy")).drop("_copy"), [key], value, k)
 
 
-def group_top_list(
-    df: DataFrame, key: str, value: str, k: int = 3, salt: int | None = None
-) -> DataFrame:
+def group_top_list(df: DataFrame, key: str, value: str, k: int = 3, salt: int = 0) -> DataFrame:
     """(key, top_values) with the k highest values of the key as a descending list."""
     listed = group_top(df, key, value, k, salt).groupBy(key).agg(
         F.collect_list(value).alias("top_values")

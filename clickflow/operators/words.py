@@ -7,8 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.operators.salting import salted_join
-from clickflow.operators.sizes import DEFAULT_BROADCAST_BYTES, fits_broadcast
+from clickflow.operators.salting import DEFAULT_SALT, salted_join
+from clickflow.operators.sizes import DEFAULT_BROADCAST_BYTES, kept_if_small
 
 # The punctuation tokens that are not counted.
 STOP_TOKENS = [",", ".", "#", "$", "!", "?", "@"]
@@ -43,20 +43,25 @@ def drop_stop(
     words: DataFrame,
     stop: Iterable[str] | DataFrame,
     column: str = "word",
+    salt: int = DEFAULT_SALT,
     max_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Words that are no stop token. Only whole tokens match: ``,`` goes, ``word,`` stays.
 
-    The list is written into the query; a table (its first column) is broadcast once per executor
-    if its measured size allows, else anti-joined with the frequent words salted. For counts, drop
-    the stop tokens of a table from the counts: the join then meets each word only once.
+    The list is written into the query. A table (its first column) is broadcast once per executor
+    if its measured size allows; Spark then drops stop words where they are read, before any count.
+    A larger table is joined by shuffling, with hot words salted. For counts, drop the stop words
+    from the counts, with ``salt=0``: the join stays behind the count and meets each word once.
     """
     if not isinstance(stop, DataFrame):
         return words.where(~F.col(column).isin(list(stop)))
     table = stop.select(F.col(stop.columns[0]).alias(column)).distinct()
-    if fits_broadcast(table, max_bytes):
-        return words.join(F.broadcast(table), column, "left_anti")
-    return salted_join(words, table, [column], "left_anti")
+    small = kept_if_small(table, max_bytes)
+    if small is not None:
+        return words.join(F.broadcast(small), column, "left_anti")
+    # An anti join would be moved below a count, and so shuffle every raw word; an outer one stays.
+    marked = salted_join(words, table.withColumn("_stop", F.lit(True)), [column], "left", salt)
+    return marked.where(F.col("_stop").isNull()).drop("_stop")
 
 
 def word_count(words: DataFrame, column: str = "word") -> DataFrame:

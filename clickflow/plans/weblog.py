@@ -13,16 +13,13 @@ _SIZE_STATS = {
     "avg_size": f"cast({_SIZE_SUM} div nullif(count(*), 0) as bigint)",
     "min_size": "min(contentSize)",
     "max_size": "max(contentSize)",
-    "total_size": f"try_cast({_SIZE_SUM} as bigint)",
+    "total_size": _SIZE_SUM,
     "cnt": "count(*)",
 }
 
 
 def content_size_stats(logs: DataFrame) -> DataFrame:
-    """Average, lowest and highest size, total and count: one row, also for an empty log.
-
-    ``total_size`` is null where the total itself leaves the 64-bit range.
-    """
+    """Average, lowest and highest size, total (a decimal) and count: one row, also for an empty log."""
     return logs.agg(*[F.expr(text).alias(name) for name, text in _SIZE_STATS.items()])
 
 
@@ -42,23 +39,29 @@ def response_code_count_sql(spark: SparkSession, view: str) -> DataFrame:
     )
 
 
-def ip_over_n(logs: DataFrame, n: int = 20, limit: int = 10) -> DataFrame:
-    """Addresses with more than ``n`` requests; the first ``limit`` of them by address."""
+DEFAULT_N = 20
+
+
+def ip_over_n(logs: DataFrame, n: int = DEFAULT_N, limit: int | None = None) -> DataFrame:
+    """All addresses with more than ``n`` requests; with ``limit``, the first of them by address."""
     counts = logs.groupBy("ipAddress").agg(F.count(F.lit(1)).alias("cnt"))
-    return counts.where(F.col("cnt") > n).orderBy("ipAddress").limit(limit)
+    over = counts.where(F.col("cnt") > n)
+    return over if limit is None else over.orderBy("ipAddress").limit(limit)
 
 
-def ip_over_n_sql(spark: SparkSession, view: str, n: int = 30, limit: int = 10) -> DataFrame:
+def ip_over_n_sql(
+    spark: SparkSession, view: str, n: int = DEFAULT_N, limit: int | None = None
+) -> DataFrame:
+    first = "" if limit is None else "ORDER BY ipAddress LIMIT :limit"
     return spark.sql(
-        """
+        f"""
         SELECT ipAddress, COUNT(*) AS cnt
         FROM IDENTIFIER(:view)
         GROUP BY ipAddress
         HAVING cnt > :n
-        ORDER BY ipAddress
-        LIMIT :limit
+        {first}
         """,
-        args={"view": view, "n": n, "limit": limit},
+        args={"view": view, "n": n} | ({} if limit is None else {"limit": limit}),
     )
 
 
@@ -80,7 +83,9 @@ def top_endpoints_sql(spark: SparkSession, view: str, k: int = 5) -> DataFrame:
     )
 
 
-def log_reports(logs: DataFrame, n: int = 20, limit: int = 10, k: int = 5) -> dict[str, DataFrame]:
+def log_reports(
+    logs: DataFrame, n: int = DEFAULT_N, limit: int | None = None, k: int = 5
+) -> dict[str, DataFrame]:
     """All four reports on one table; wrap ``logs`` in ``cached`` to parse the log only once."""
     return {
         "content_size_stats": content_size_stats(logs),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from functools import cache
@@ -30,6 +31,31 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_MADE: dict[str, list[str]] = {}
+
+
+def delete_scratch(spark: SparkSession) -> None:
+    """Delete the folders that this session was given below the shared root, by the Hadoop file system."""
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs
+    for name in _MADE.pop(context.applicationId, []):
+        path = hadoop.Path(name)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _delete_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        delete_scratch(spark)
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A path below the shared root that no earlier run has used. Nothing is created there."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared root that no earlier run has used. Nothing is created there.
+
+    Whatever is written there goes when the program ends, or by ``delete_scratch`` earlier.
+    """
+    name = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _MADE:
+        atexit.register(_delete_at_exit)
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name

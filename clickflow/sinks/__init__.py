@@ -1,4 +1,12 @@
-from clickflow.sinks.files import batch_files, read_batches, write_tsv
+from clickflow.sinks.files import batch_files, batch_tsv, read_batches, with_batch_time, write_tsv
 from clickflow.sinks.jdbc import batch_jdbc, write_jdbc
 
-__all__ = ["batch_files", "batch_jdbc", "read_batches", "write_jdbc", "write_tsv"]
+__all__ = [
+    "batch_files",
+    "batch_jdbc",
+    "batch_tsv",
+    "read_batches",
+    "with_batch_time",
+    "write_jdbc",
+    "write_tsv",
+]

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from typing import Literal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickflow.operators.checks import keep_or_raise
+
 # The grammar of an access-log line and its columns. The pattern is anchored at the
 # start only, so text after the size (combined format) is accepted. It has no capturing groups,
 # which halves the cost of a match.
@@ -27,15 +31,21 @@ def valid_log_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.where(F.col(column).rlike(LOG_PATTERN))
 
 
-def access_log(lines: DataFrame, column: str = "value") -> DataFrame:
+def access_log(
+    lines: DataFrame, column: str = "value", on_bad: Literal["fail", "drop"] = "fail"
+) -> DataFrame:
     """The nine typed columns of every valid line; other lines are left out.
 
+    A valid line whose size exceeds 64 bits stops the job, or is left out with ``on_bad="drop"``.
+
     The regular expression runs once per line and yields the matched text, or nothing. No field
     but the date holds a space, so the match is then cut at its spaces; the date has one white
     space, mostly a space too, and makes one or two pieces. A filter with nine ``regexp_extract``
     would run the expression ten times. The one-element explode keeps the optimizer from copying
-    it into the filter and every column. A size beyond 64 bits drops the line.
+    it into the filter and every column.
     """
+    if on_bad not in ("fail", "drop"):
+        raise ValueError(f"on_bad must be 'fail' or 'drop', not {on_bad!r}")
     match = F.regexp_extract(F.col(column), LOG_PATTERN, 0)
     pieces = lines.select(F.explode(F.array(F.split(match, " "))).alias("p")).where(
         F.size("p") >= len(LOG_COLUMNS)
@@ -69,4 +79,8 @@ def access_log(lines: DataFrame, column: str = "value") -> DataFrame:
         for text, kind in zip(texts, LOG_COLUMNS.values(), strict=True)
     ]
     named = [column.alias(name) for column, name in zip(columns, LOG_COLUMNS, strict=True)]
-    return pieces.select(*named).where(F.col("contentSize").isNotNull())
+    fits = F.col("contentSize").isNotNull()
+    if on_bad == "fail":
+        address = F.concat(F.lit("size beyond 64 bits in a line of "), F.col("ipAddress"))
+        fits = keep_or_raise(fits, address)
+    return pieces.select(*named).where(fits)

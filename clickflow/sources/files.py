@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Characters that Hive-style partition directories store as %XX.
-_ESCAPED_IN_DIRS = '"#%\'*/:=?\\{}[]^'
-
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per line, in a column named ``value``."""
@@ -17,17 +15,13 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
 def text_partition(spark: SparkSession, root: str, column: str, value: str) -> DataFrame:
     """Lines of the partition directory ``root/column=value``, with the partition column added.
 
-    Only that directory is listed, so the cost does not depend on how many partitions exist.
-    The partition value stays a string ("007" is not turned into 7).
+    Spark lists the partition directories and reads the files of that one alone. The value stays a
+    string ("007" is not turned into 7); the empty string is stored as null and found again.
     """
-    stored = "".join(
-        f"%{ord(c):02X}" if c in _ESCAPED_IN_DIRS or ord(c) < 32 else c for c in value
-    )
-    return (
-        spark.read.schema(f"value string, `{column}` string")
-        .option("basePath", root)
-        .text(f"{root}/{column}={stored}")
-    )
+    rows = spark.read.schema(f"value string, `{column}` string").text(root)
+    if value == "":
+        return rows.where(F.col(f"`{column}`").isNull()).withColumn(column, F.lit(""))
+    return rows.where(F.col(f"`{column}`") == value)
 
 
 def csv_table(

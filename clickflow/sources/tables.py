@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickflow.operators.checks import keep_or_raise
 from clickflow.operators.predicates import non_blank
 from clickflow.sources.delimited import OnShort, positional_table
 
@@ -28,9 +29,15 @@ def page_views(lines: DataFrame, on_short: OnShort = "fail") -> DataFrame:
 
 
 def track_log(lines: DataFrame, on_short: OnShort = "fail") -> DataFrame:
-    """(day, url, guid) of each non-blank line; day is the first ten characters of the time."""
+    """(day, url, guid) of each non-blank line; day is the first ten characters of the time.
+
+    ``on_short`` also decides about a time of fewer characters.
+    """
     rows = positional_table(non_blank(lines, "value"), "\t", TRACK_FIELDS, on_short)
-    return rows.select(F.substring("track_time", 1, 10).alias("day"), "url", "guid")
+    has_day = F.length("track_time") >= 10
+    if on_short == "fail":
+        has_day = keep_or_raise(has_day, F.concat(F.lit("no day in the time "), F.col("track_time")))
+    return rows.where(has_day).select(F.substring("track_time", 1, 10).alias("day"), "url", "guid")
 
 
 def emp_table(lines: DataFrame, on_short: OnShort = "fail") -> DataFrame:

@@ -1,4 +1,9 @@
-from clickflow.streaming.counts import batch_word_count, running_word_count, window_count
+from clickflow.streaming.counts import (
+    batch_word_count,
+    running_word_count,
+    window_count,
+    window_word_count,
+)
 from clickflow.streaming.runs import run, start
 from clickflow.streaming.sources import decode_values, file_lines, kafka_lines, parquet_rows
 
@@ -12,4 +17,5 @@ __all__ = [
     "running_word_count",
     "start",
     "window_count",
+    "window_word_count",
 ]

@@ -6,17 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.operators.words import word_count, words
-from clickflow.sinks.files import BatchSink
+from clickflow.sinks.files import BATCH_TIME, BatchSink
 
 
 def batch_word_count(sink: BatchSink, column: str = "value") -> BatchSink:
     """A ``foreachBatch`` function: the word count of each batch of lines alone goes to ``sink``.
 
-    Counting inside the batch keeps no state; a streaming ``groupBy`` would.
+    Counting inside the batch keeps no state; a streaming ``groupBy`` would. The batch's time, if it has
+    one, stays beside the counts.
     """
 
     def count_batch(batch: DataFrame, batch_id: int) -> None:
-        sink(word_count(words(batch, column)), batch_id)
+        time = [BATCH_TIME] if BATCH_TIME in batch.columns else []
+        found = words(batch, column, keep=time)
+        counts = found.groupBy(*time, "word").agg(F.count(F.lit(1)).alias("cnt"))
+        sink(counts.select("word", "cnt", *time), batch_id)
 
     return count_batch
 
@@ -35,8 +39,10 @@ def window_count(
 ) -> DataFrame:
     """Rows per key in sliding windows over event time.
 
-    A window is final once the watermark has passed its end; later rows for it are dropped.
-    ``ts`` must be a timestamp with time zone.
+    A window is final once the watermark has passed its end; later rows for it are dropped. Output mode
+    ``append`` writes final windows only, so the last ones of a finite input never; ``update`` writes a
+    window whenever it changes, and its latest count is the one that holds. ``ts`` must be a timestamp
+    with time zone.
     """
     window = F.window(ts, length, slide).alias("window")
     counts = df.withWatermark(ts, watermark).groupBy(window, key).agg(F.count(F.lit(1)).alias("cnt"))
@@ -46,3 +52,15 @@ def window_count(
         key,
         "cnt",
     )
+
+
+def window_word_count(
+    lines: DataFrame,
+    ts: str,
+    length: str,
+    slide: str,
+    watermark: str,
+    column: str = "value",
+) -> DataFrame:
+    """Word counts of timed lines in sliding windows: of Kafka lines read with ``keep=["timestamp"]``, for one."""
+    return window_count(words(lines, column, keep=[ts]), ts, "word", length, slide, watermark)

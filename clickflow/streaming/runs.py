@@ -15,14 +15,22 @@ _PARTITIONS_SETTING = "spark.sql.shuffle.partitions"
 
 @contextmanager
 def _shuffle_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
-    """The setting while a stream starts; the stream keeps its own copy of it."""
-    before = spark.conf.get(_PARTITIONS_SETTING)
+    """The setting while a stream starts; the stream keeps its own copy of it.
+
+    The session has one value, so a query that another thread plans meanwhile gets it, too.
+    """
+    if number is None:
+        yield
+        return
+    before = spark.conf.get(_PARTITIONS_SETTING, None)
+    spark.conf.set(_PARTITIONS_SETTING, number)
     try:
-        if number is not None:
-            spark.conf.set(_PARTITIONS_SETTING, number)
         yield
     finally:
-        spark.conf.set(_PARTITIONS_SETTING, before)
+        if before is None:
+            spark.conf.unset(_PARTITIONS_SETTING)
+        else:
+            spark.conf.set(_PARTITIONS_SETTING, before)
 
 
 def start(

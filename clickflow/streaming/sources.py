@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,17 +21,26 @@ def file_lines(spark: SparkSession, path: str, max_files: int | None = None) ->
 
 def parquet_rows(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Rows of a Parquet table, a directory or a single file, as a stream."""
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    path = path.rstrip("/")
+    table = spark.read.parquet(path)
+    reader = spark.readStream.schema(table.schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    # A stream takes no plain file name, but a pattern that matches one.
-    path = path.rstrip("/")
-    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+    # A stream takes a directory, which may be partitioned, but no file name: of a file, its directory
+    # with a filter on the name.
+    if [f.rstrip("/").rpartition("/")[2] for f in table.inputFiles()] == [path.rpartition("/")[2]]:
+        folder, _, name = path.rpartition("/")
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(path)
 
 
-def decode_values(records: DataFrame) -> DataFrame:
-    """The text of Kafka records, one line per record. Key and position are not used."""
-    return records.select(F.col("value").cast("string").alias("value"))
+def decode_values(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The text of Kafka records, one line per record.
+
+    ``keep`` names record columns to pass on; ``timestamp`` is the time a record has by its topic's setting:
+    when it was made, or when it arrived.
+    """
+    return records.select(*keep, F.col("value").cast("string").alias("value"))
 
 
 def kafka_lines(
@@ -40,11 +49,13 @@ def kafka_lines(
     topics: str | Iterable[str],
     starting: str = "latest",
     max_offsets: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Lines of Kafka topics, read by the executors straight from the brokers.
 
     Needs Spark's Kafka connector on the classpath. ``max_offsets`` bounds one micro-batch;
-    without it the first batch after a pause takes everything that has piled up.
+    without it the first batch after a pause takes everything that has piled up. ``keep`` is that of
+    ``decode_values``.
     """
     names = topics if isinstance(topics, str) else ",".join(topics)
     reader = (
@@ -55,4 +66,4 @@ def kafka_lines(
     )
     if max_offsets is not None:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
-    return decode_values(reader.load())
+    return decode_values(reader.load(), keep)

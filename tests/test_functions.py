@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from clickflow.functions import combined_for_sel_max, register_functions, sel_max
+from clickflow.functions import register_functions, sel_max, sel_max_sql
 from clickflow.operators import register
 from tests.conftest import rows
 
@@ -39,20 +39,26 @@ def test_native_combines_before_the_shuffle(salaries):
     assert "partial_max" in plan and "Python" not in plan
 
 
-def test_by_sql_name(spark, salaries):
-    register_functions(spark)
+def test_in_sql_text_beside_other_aggregates(spark, salaries):
     register(salaries, "salaries_all")
-    got = spark.sql("SELECT name, sel_max(sal) AS m FROM salaries_all GROUP BY name")
+    got = spark.sql(
+        f"SELECT name, {sel_max_sql('sal')} AS m, COUNT(*) AS n, MAX(sal) AS x FROM salaries_all GROUP BY name"
+    )
     assert {r.name: r.m for r in got.collect()} == EXPECTED
+    assert {r.name: r.n for r in got.collect()} == {k: len(v) for k, v in CASES.items()}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "Python" not in plan
 
 
-def test_by_sql_name_over_combined_rows(spark, salaries):
-    register_functions(spark)
-    combined = combined_for_sel_max(salaries.repartition(7), ["name"], "sal", parts=2)
-    assert combined.groupBy("name").count().where("count > 2").count() == 0
-    register(combined, "salaries_combined")
-    got = spark.sql("SELECT name, sel_max(sal) AS m FROM salaries_combined GROUP BY name")
-    assert {r.name: r.m for r in got.collect()} == EXPECTED
+def test_in_sql_text_with_a_falling_expression(spark):
+    register(spark.createDataFrame([(1.0,), (-5.0,), (3.0,)], "x double"), "falling")
+    got = spark.sql(f"SELECT {sel_max_sql('-x')} AS m, {sel_max_sql('x * 2')} AS d FROM falling")
+    assert rows(got) == [(5.0, 6.0)]
+
+
+def test_in_sql_text_on_nothing(spark, salaries):
+    register(salaries.where("false"), "salaries_none")
+    assert rows(spark.sql(f"SELECT {sel_max_sql('sal')} AS m FROM salaries_none")) == [(0.0,)]
 
 
 def test_case_functions(spark):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickflow.operators import broadcast_bytes, dim_join, dim_lookup, group_top, group_top_list
+from clickflow.operators.salting import row_salt
 from tests.conftest import rows
 
 
@@ -36,7 +37,9 @@ def test_join_multiplies_duplicates_and_drops_misses(spark, emp):
     dim = spark.createDataFrame([("10", "A"), ("10", "B")], "deptno string, dname string")
     expected = [("10", e, d) for e in "xz" for d in "AB"]
     for salt in (0, 1, 5):
-        assert rows(dim_join(emp, dim, "deptno", salt=salt)) == expected
+        for hot_rows in (0, 1, 1000):
+            joined = dim_join(emp, dim, "deptno", strategy="merge", salt=salt, hot_rows=hot_rows)
+            assert rows(joined) == expected
 
 
 @pytest.mark.parametrize("max_bytes", [1 << 20, 0])
@@ -72,7 +75,9 @@ def test_small_dimension_is_broadcast_and_large_is_not(emp, dept):
     assert "BroadcastHashJoin" in plan_of(dim_lookup(emp, dept, "deptno"))
     assert "SortMergeJoin" in plan_of(dim_lookup(emp, dept, "deptno", max_bytes=10))
     assert "SortMergeJoin" in plan_of(dim_join(emp, dept, "deptno", strategy="broadcast", max_bytes=10))
-    assert "SortMergeJoin" in plan_of(dim_join(emp, dept, "deptno"))
+    assert "SortMergeJoin" in plan_of(dim_join(emp, dept, "deptno", strategy="merge"))
+    text = plan_of(dim_join(emp, dept, "deptno"))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
 def test_measured_size_grows_with_rows_and_text(spark):
@@ -88,16 +93,24 @@ def test_hot_key_is_spread(spark):
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id"
     )
     dim = spark.range(4000).withColumnRenamed("id", "k").withColumn("name", F.concat(F.lit("n"), "k"))
-    joined = dim_lookup(facts, dim, "k", max_bytes=0)
-    assert joined.count() == 4000
     # Adaptive execution would merge the small partitions of this test again.
     merging = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(merging, False)
     try:
-        hot = joined.where("k = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+        # As read; gathered by key before; and as it comes out of a join on the key.
+        joined_before = facts.join(dim.drop("name").hint("merge"), "k")
+        for rows_in in (facts, facts.repartition("k"), joined_before):
+            joined = dim_lookup(rows_in, dim, "k", max_bytes=0, hot_rows=500)
+            assert joined.count() == 4000
+            hot = joined.where("k = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+            assert hot > 4
     finally:
         spark.conf.unset(merging)
-    assert hot > 1
+
+
+def test_salt_takes_every_value_on_one_task(spark):
+    df = spark.range(0, 1000, 1, 1).withColumn("k", F.lit(1)).repartition("k")
+    assert df.select(row_salt(8, ["id", "k"]).alias("s")).distinct().count() == 8
 
 
 @pytest.fixture(scope="module")
@@ -106,7 +119,7 @@ def groups(spark):
     return spark.createDataFrame([*values, ("a", None)], "key string, value int")
 
 
-@pytest.mark.parametrize("salt", [None, 1, 4])
+@pytest.mark.parametrize("salt", [0, 1, 4])
 def test_group_top(groups, salt):
     assert rows(group_top(groups, "key", "value", salt=salt)) == [
         ("", -1, 1),
@@ -126,7 +139,7 @@ def test_group_top_of_a_hot_key(spark):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"),
         F.col("id").alias("value"),
     )
-    for salt in (None, 8):
+    for salt in (0, 8):
         top = group_top(df, "key", "value", k=2, salt=salt).where("key = 'hot'")
         assert rows(top) == [("hot", 8994, 2), ("hot", 8997, 1)]
 
@@ -134,5 +147,8 @@ def test_group_top_of_a_hot_key(spark):
 def test_group_top_cuts_before_the_shuffle(groups):
     text = plan_of(group_top(groups, "key", "value"))
     assert text.index("WindowGroupLimit") < text.index("Exchange") < text.rindex("WindowGroupLimit")
-    # Beyond Spark's limit for the early cut the groups are split by salt.
-    assert plan_of(group_top(groups, "key", "value", k=2000)).count("Exchange") == 2
+    assert "partial_count" in text
+    # The plan depends on the parameters alone: one salted stage more.
+    for k in (3, 2000):
+        plain, salted = (plan_of(group_top(groups, "key", "value", k=k, salt=s)) for s in (0, 8))
+        assert salted.count("Exchange") == plain.count("Exchange") + 1

@@ -31,6 +31,7 @@ _TYPES = {
     "double": "DOUBLE",
     "boolean": "BOOLEAN",
     "date": "DATE",
+    "decimal(38,0)": "DECIMAL(38,0)",
 }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
 
 from clickflow import operators, plans, sources
@@ -37,7 +39,7 @@ def test_size_stats_of_an_empty_log(spark):
 
 def test_size_stats_beyond_64_bits(spark):
     top = 2**63 - 1
-    assert rows(plans.content_size_stats(sizes(spark, top, top))) == [(top, top, top, None, 2)]
+    assert rows(plans.content_size_stats(sizes(spark, top, top))) == [(top, top, top, Decimal(2 * top), 2)]
 
 
 def test_reports_by_sql_and_by_dataframe(spark, logs):
@@ -103,3 +105,12 @@ def test_sessions_by_sql_and_by_dataframe(spark, sf_dir):
 def test_view_names_are_not_sql_text(spark):
     with pytest.raises(Exception):
         plans.session_top_sql(spark, "x; drop table y").collect()
+
+
+def test_addresses_over_n_are_all_there_unless_limited(spark):
+    logs = spark.createDataFrame([(f"10.0.0.{i % 40}",) for i in range(120)], "ipAddress string")
+    operators.register(logs, "many_ips")
+    assert plans.ip_over_n(logs, n=2).count() == plans.ip_over_n_sql(spark, "many_ips", n=2).count() == 40
+    few = plans.ip_over_n(logs, n=2, limit=3)
+    assert rows(few) == rows(plans.ip_over_n_sql(spark, "many_ips", n=2, limit=3))
+    assert [r[0] for r in rows(few)] == ["10.0.0.0", "10.0.0.1", "10.0.0.10"]

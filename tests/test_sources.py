@@ -21,7 +21,7 @@ from clickflow.sources.access_log import LOG_COLUMNS
 from tests.conftest import rows
 from tests.test_text import lines
 
-GOOD = '1.2.3.4 - bob [21/Jul/2014:10:00:00 -0800] "GET /a/b.html HTTP/1.1" 200 1234'
+GOOD = '1.2.3.4 - bob [09/Mar/2031:17:45:12 +0530] "GET /q/shelf.txt HTTP/1.1" 200 8086'
 
 
 def parsed(spark, *values):
@@ -32,7 +32,7 @@ def test_log_line(spark):
     df = access_log(lines(spark, GOOD))
     assert dict(df.dtypes) == LOG_COLUMNS
     assert rows(df) == [
-        ("1.2.3.4", "-", "bob", "21/Jul/2014:10:00:00 -0800", "GET", "/a/b.html", "HTTP/1.1", 200, 1234)
+        ("1.2.3.4", "-", "bob", "09/Mar/2031:17:45:12 +0530", "GET", "/q/shelf.txt", "HTTP/1.1", 200, 8086)
     ]
 
 
@@ -50,8 +50,8 @@ def test_log_accepts_text_after_the_size(spark):
         " " + GOOD,
         GOOD.replace(" 200 ", " 20 "),
         GOOD.replace('"', ""),
-        GOOD.replace(" -0800", ""),
-        GOOD.replace("GET /a/b.html", "GET"),
+        GOOD.replace(" +0530", ""),
+        GOOD.replace("GET /q/shelf.txt", "GET"),
         "\n".join("123456789"),
     ],
 )
@@ -62,7 +62,12 @@ def test_invalid_log_lines_are_dropped(spark, line):
 
 def test_log_size_limits(spark):
     assert parsed(spark, GOOD[:-4] + str(2**63 - 1))[0][-1] == 2**63 - 1
-    assert parsed(spark, GOOD[:-4] + "9" * 20) == []
+    too_long = lines(spark, GOOD[:-4] + "9" * 20)
+    assert rows(access_log(too_long, on_bad="drop")) == []
+    with pytest.raises(Exception, match="size beyond 64 bits in a line of 1.2.3.4"):
+        access_log(too_long).count()
+    with pytest.raises(ValueError, match="on_bad"):
+        access_log(too_long, on_bad="skip")
 
 
 def test_log_odd_but_valid_fields(spark):
@@ -125,21 +130,41 @@ def test_text_partition_reads_one_directory(spark, tmp_path):
     spark.createDataFrame(data, "value string, date string").write.partitionBy("date").text(root)
     part = text_partition(spark, root, "date", "007")
     assert rows(part) == [("x", "007")]
-    assert all("date=007" in f for f in part.inputFiles())
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "= 007)]" in plan
     assert rows(text_partition(spark, root, "date", "a:b")) == [("z", "a:b")]
 
 
+def test_text_partition_with_any_character(spark, tmp_path):
+    root = str(tmp_path / "t")
+    values = [f"a{chr(c)}b" for c in [*range(1, 32), *range(32, 128), 0xE9, 0x65E5]] + ["", "a}b{", "."]
+    data = [(str(i), v) for i, v in enumerate(dict.fromkeys(values))]
+    frame = spark.createDataFrame(data, "value string, part string").coalesce(1)
+    frame.write.partitionBy("part").text(root)
+    for value in ("", "a}b{", "a\x7fb", "a%b", "a/b", "a=b", "a b", "a\x01b", "aéb", "a*b", "a?b", "."):
+        want = [d for d in data if d[1] == value]
+        assert rows(text_partition(spark, root, "part", value)) == want, value
+
+
+def test_track_log_needs_a_day(spark):
+    line = "\t".join(["", "u", "", "", "", "g"] + [""] * 11)
+    good, short = line + "\t2031-04-05 06:07:08", line + "\t2031"
+    assert rows(track_log(lines(spark, good, short), on_short="drop")) == [("2031-04-05", "u", "g")]
+    with pytest.raises(Exception, match="no day in the time 2031"):
+        track_log(lines(spark, short)).count()
+
+
 def test_files(spark, tmp_path):
-    ratings = spark.createDataFrame([(1, 122, 2.0, 945544824)], "u int, i int, r double, t int")
+    ratings = spark.createDataFrame([(7, 315, 3.5, 1733000111)], "u int, i int, r double, t int")
     ratings.write.option("header", True).csv(str(tmp_path / "csv"))
     inferred = csv_table(spark, str(tmp_path / "csv"))
     assert inferred.dtypes == [("u", "int"), ("i", "int"), ("r", "double"), ("t", "int")]
-    assert rows(inferred) == [(1, 122, 2.0, 945544824)]
+    assert rows(inferred) == [(7, 315, 3.5, 1733000111)]
     declared = csv_table(spark, str(tmp_path / "csv"), "u string, i long, r double, t long")
-    assert rows(declared) == [("1", 122, 2.0, 945544824)]
+    assert rows(declared) == [("7", 315, 3.5, 1733000111)]
     ratings.write.json(str(tmp_path / "json"))
-    assert rows(json_table(spark, str(tmp_path / "json")).select("u", "r")) == [(1, 2.0)]
-    assert rows(json_table(spark, str(tmp_path / "json"), "t int")) == [(945544824,)]
+    assert rows(json_table(spark, str(tmp_path / "json")).select("u", "r")) == [(7, 3.5)]
+    assert rows(json_table(spark, str(tmp_path / "json"), "t int")) == [(1733000111,)]
     ratings.write.parquet(str(tmp_path / "pq"))
     pruned = parquet_table(spark, str(tmp_path / "pq")).where("u = 1").select("r")
     plan = pruned._jdf.queryExecution().executedPlan().toString()

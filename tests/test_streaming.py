@@ -209,3 +209,57 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
         scratch.shared_root(Cluster())
+
+
+def test_parquet_rows_of_a_partitioned_table(spark, tmp_path):
+    path, out = str(tmp_path / "t"), str(tmp_path / "out")
+    table = spark.range(20).withColumn("part", F.col("id") % 3)
+    table.write.partitionBy("part").parquet(path)
+    streaming.run(streaming.parquet_rows(spark, path), str(tmp_path / "chk"), out)
+    assert rows(spark.read.parquet(out).select("id", F.col("part").cast("long"))) == rows(table)
+
+
+def test_replayed_batch_keeps_its_time(spark, tmp_path):
+    inbox, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "chk"))
+    spark.createDataFrame([("a b",)], "value string").write.text(inbox)
+    sink = streaming.batch_word_count(sinks.batch_files(out))
+
+    def run():
+        lines = sinks.with_batch_time(streaming.file_lines(spark, inbox))
+        streaming.run(lines, checkpoint, sink)
+        return rows(sinks.read_batches(spark, out).select("word", "batch_time"))
+
+    first = run()
+    for name in ("0", ".0.crc"):  # as after a crash between output and commit
+        (tmp_path / "chk" / "commits" / name).unlink(missing_ok=True)
+    time.sleep(1.2)
+    assert run() == first and len(first) == 2
+
+
+def test_decoded_records_keep_their_time(spark):
+    records = spark.createDataFrame([(b"x y", 5)], "value binary, timestamp int")
+    got = streaming.decode_values(records, keep=["timestamp"])
+    assert rows(got) == [(5, "x y")]
+    assert streaming.decode_values(records).columns == ["value"]
+
+
+def test_partition_setting_is_put_back(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    inbox = str(tmp_path / "in")
+    spark.createDataFrame([("a",)], "value string").write.text(inbox)
+    counts = streaming.running_word_count(streaming.file_lines(spark, inbox))
+    sink = sinks.batch_files(str(tmp_path / "out"))
+    streaming.run(counts, str(tmp_path / "chk"), sink, output_mode="update", state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_scratch_is_deleted(spark):
+    path = scratch.fresh_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    kept = dict(scratch._MADE)
+    scratch._MADE.clear()
+    scratch._MADE[spark.sparkContext.applicationId] = [path]
+    scratch.delete_scratch(spark)
+    scratch._MADE.update(kept)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

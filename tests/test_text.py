@@ -107,3 +107,21 @@ def test_top_is_not_a_full_sort(spark):
     df = word_count(words(lines(spark, "a b")))
     plan = top_by(df, "cnt", "word", 3)._jdf.queryExecution().executedPlan().toString()
     assert re.search("TakeOrderedAndProject", plan)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_where_the_stop_join_sits(spark):
+    counted = word_count(words(lines(spark, "a b a", "c . a")))
+    stop = spark.createDataFrame([("a",), (".",)], "word string")
+    small = drop_stop(counted, stop, salt=0)
+    large = drop_stop(counted, stop, salt=0, max_bytes=0)
+    assert rows(small) == rows(large) == [("b", 1), ("c", 1)]
+    # Sent to every executor, it drops words before they are counted; shuffled, it meets the counts. The
+    # root of a plan is printed first.
+    text = _plan(small)
+    assert text.index("HashAggregate") < text.index("BroadcastHashJoin")
+    text = _plan(large)
+    assert text.index("SortMergeJoin") < text.index("HashAggregate")

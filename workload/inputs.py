@@ -38,6 +38,22 @@ def document_deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [lines_of(documents.where(part), "text") for part in (english, ~english)]
 
 
+def spaced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document lines with commas, full stops and question marks set off as words of their own."""
+    return document_lines(spark, sf_dir).select(
+        F.regexp_replace("value", "([,.?])", " $1").alias("value")
+    )
+
+
+def timed_deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The documents in Kafka's columns, one record each, in two deliveries. ``doc_id`` gives the minute."""
+    records = table(spark, sf_dir, "documents").selectExpr(
+        "cast(text as binary) as value", "timestamp_seconds(doc_id * 60) as timestamp", "lang"
+    )
+    english = F.col("lang").eqNullSafe("en")
+    return [records.where(part).drop("lang") for part in (english, ~english)]
+
+
 def stop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words to leave out: the vocabulary of the benchmark texts."""
     return words(lines_of(table(spark, sf_dir, "benchmark"), "text")).distinct()

@@ -21,6 +21,10 @@ def _words(lines: str, extra: str = "") -> str:
 _DOCUMENT_LINES = _lines("documents")
 _DOCUMENT_WORDS = _words(_DOCUMENT_LINES)
 _WORD_COUNT = f"select word, count(*) as cnt from ({_DOCUMENT_WORDS}) group by word"
+_SPACED_LINES = rf"""select regexp_replace(line, '([,.?])', ' \1', 'g') as line
+    from ({_DOCUMENT_LINES})"""
+_WITHOUT_STOP_TABLE = f"""select word, cnt from ({_WORD_COUNT})
+    where word not in (select word from ({_words(_lines("benchmark"))}))"""
 
 # 0 for the first delivery of the streams, 1 for the second.
 _DELIVERY = "case when lang is not distinct from 'en' then 0 else 1 end::bigint as batch_id"
@@ -35,10 +39,10 @@ _LOGS = f"""select {_IP} as ip, {_ENDPOINT} as endpoint, {_CODE} as code, {_SIZE
 _LOG_TIME = "strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000'"
 
 _SIZE_STATS = f"""select (sum(size) // count(*))::bigint as avg_size, min(size) as min_size,
-    max(size) as max_size, sum(size)::bigint as total_size, count(*) as cnt from ({_LOGS})"""
+    max(size) as max_size, sum(size)::decimal(38, 0) as total_size, count(*) as cnt from ({_LOGS})"""
 _CODE_COUNT = f'select code as "responseCode", count(*) as cnt from ({_LOGS}) group by code'
 _IP_OVER_N = f"""select ip as "ipAddress", count(*) as cnt from ({_LOGS}) group by ip
-    having count(*) > {MANY_REQUESTS} order by ip limit 10"""
+    having count(*) > {MANY_REQUESTS}"""
 _TOP_ENDPOINTS = f"""select endpoint, count(*) as cnt from ({_LOGS})
     group by endpoint order by cnt desc, endpoint limit 5"""
 
@@ -64,6 +68,9 @@ _GROUP_TOP = """select l_returnflag as key, l_partkey::int as value,
 _SEL_MAX = """select c_mktsegment, greatest(coalesce(max(c_acctbal), 0.0), 0.0)::double as highest,
     greatest(coalesce(max(c_acctbal - 20000), 0.0), 0.0)::double as all_negative
     from customer group by c_mktsegment"""
+_SEL_MAX_SQL = f"""select s.*, falling, cnt from ({_SEL_MAX}) s join (select c_mktsegment,
+    greatest(coalesce(max(-c_acctbal), 0.0), 0.0)::double as falling, count(*) as cnt
+    from customer group by c_mktsegment) using (c_mktsegment)"""
 
 ORACLE_SQL: dict[str, str] = {
     "scan_text": f"select line as value from ({_DOCUMENT_LINES})",
@@ -71,8 +78,8 @@ ORACLE_SQL: dict[str, str] = {
         where strftime(ts, '%Y-%m-%d') = '{DAY}'""",
     "scan_csv": """select l_orderkey as user_id, l_partkey as item_id, l_quantity as rating,
         l_linenumber::bigint as position from lineitem""",
-    "scan_json": "select c_custkey, c_name, c_acctbal from customer",
-    "scan_parquet": "select s_suppkey, s_name, s_acctbal from supplier",
+    "scan_json": "select * from customer",
+    "scan_parquet": "select * from supplier",
     "row_count": "select count(*) as cnt from lineitem",
     "scan_page_views": f"""select {_TIME} as track_time, '/' || event_type as url,
         's' || user_id as session_id, '-' as referer, '10.0.0.' || (user_id % 256) as ip,
@@ -88,10 +95,10 @@ ORACLE_SQL: dict[str, str] = {
         as value from events where event_type <> 'signup'""",
     "words": _DOCUMENT_WORDS,
     "word_count": _WORD_COUNT,
-    "word_count_stop_list": f"""select word, cnt from ({_WORD_COUNT})
-        where word not in (',', '.', '#', '$', '!', '?', '@')""",
-    "word_count_stop_table": f"""select word, cnt from ({_WORD_COUNT})
-        where word not in (select word from ({_words(_lines("benchmark"))}))""",
+    "word_count_stop_list": f"""select word, count(*) as cnt from ({_words(_SPACED_LINES)})
+        where word not in (',', '.', '#', '$', '!', '?', '@') group by word""",
+    "word_count_stop_table": _WITHOUT_STOP_TABLE,
+    "word_count_stop_shuffled": _WITHOUT_STOP_TABLE,
     "top_words": f"select word, cnt from ({_WORD_COUNT}) order by cnt desc, word limit 3",
     "kafka_word_count": _WORD_COUNT,
     "content_size_stats": _SIZE_STATS,
@@ -113,20 +120,29 @@ ORACLE_SQL: dict[str, str] = {
         from events""",
     "select_lower": "select c_custkey, lower(c_mktsegment) as segment from customer",
     "emp_dept_join": _EMP_DEPT,
+    "emp_dept_join_shuffled": _EMP_DEPT,
     "emp_dept_lookup": _EMP_DEPT,
     "group_top3": _GROUP_TOP,
     "group_top3_salted": _GROUP_TOP,
     "group_top3_list": f"""select key, string_agg(value, ',' order by value desc) as top_values
         from ({_GROUP_TOP}) group by key""",
     "sel_max": _SEL_MAX,
-    "sel_max_sql": _SEL_MAX,
+    "sel_max_sql": _SEL_MAX_SQL,
     "sink_text_tsv": f"select word || chr(9) || cnt as value from ({_WORD_COUNT})",
     "sink_jdbc": "select event_type, count(*) as cnt from events group by event_type",
     "stream_batch_word_count": f"""select batch_id, word, count(*) as cnt
         from ({_words(_DELIVERED_LINES, ", batch_id")}) group by batch_id, word""",
-    "sink_batch_files": f"select batch_id, line as value from ({_DELIVERED_LINES})",
-    "stream_running_count": _WORD_COUNT,
-    "stream_restart_count": _WORD_COUNT,
+    "sink_batch_files": f"""select batch_id, line as value, 19::int as time_length
+        from ({_DELIVERED_LINES})""",
+    "sink_batch_text": f"""select batch_id, word || chr(9) || count(*) as value
+        from ({_words(_DELIVERED_LINES, ", batch_id")}) group by batch_id, word""",
+    "stream_running_count": f"""select b.batch_id, word, count(*) as cnt
+        from ({_words(_DELIVERED_LINES, ", batch_id")}) w, (values (0::bigint), (1::bigint)) b(batch_id)
+        where w.batch_id <= b.batch_id group by b.batch_id, word""",
+    "stream_restart_count": f"""with w as ({_words(_DELIVERED_LINES, ", batch_id")})
+        select batch_id, word, (count(*) + case batch_id when 1 then
+            (select count(*) from w e where e.word = w.word and e.batch_id = 0) else 0 end)::bigint as cnt
+        from w group by batch_id, word""",
     "stream_window_count": """with b as (
             select time_bucket(interval 6 hours, ts, timestamp '1970-01-01')
                 - interval 6 hours * k as s, event_type
@@ -134,6 +150,10 @@ ORACLE_SQL: dict[str, str] = {
         select epoch(s)::bigint as window_start, epoch(s + interval 12 hours)::bigint as window_end,
             event_type, count(*) as cnt
         from b
-        where s + interval 12 hours <= (select max(ts) - interval 10 minutes from events)
         group by s, event_type""",
+    "stream_window_words": f"""with b as (
+            select unnest([(day - 1) * 86400, day * 86400]) as window_start, word from
+            ({_words("select text as line, doc_id * 60 // 86400 as day from documents", ", day")}))
+        select window_start, window_start + 172800 as window_end, word, count(*) as cnt
+        from b group by window_start, word""",
 }

@@ -20,19 +20,34 @@ DAY = "2024-01-15"
 MANY_REQUESTS = 55
 
 
+_FIXTURES: dict[tuple[str, str, str], str] = {}
+
+
+def _fixture(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """A derived input, written once per application and table folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _FIXTURES:
+        path = fresh_dir(spark, name)
+        write(path)
+        _FIXTURES[key] = path
+    return _FIXTURES[key]
+
+
 # --- scans ------------------------------------------------------------------------------------
 
 
 def scan_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_dir(spark, "text")
-    inputs.document_lines(spark, sf_dir).write.text(path)
-    return sources.text_lines(spark, path)
+    def write(path: str) -> None:
+        inputs.document_lines(spark, sf_dir).write.text(path)
+
+    return sources.text_lines(spark, _fixture(spark, sf_dir, "text", write))
 
 
 def scan_partition_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = fresh_dir(spark, "by-day")
-    inputs.dated_page_view_lines(spark, sf_dir).write.partitionBy("day").text(root)
-    return sources.text_partition(spark, root, "day", DAY)
+    def write(path: str) -> None:
+        inputs.dated_page_view_lines(spark, sf_dir).write.partitionBy("day").text(path)
+
+    return sources.text_partition(spark, _fixture(spark, sf_dir, "by-day", write), "day", DAY)
 
 
 def _ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,8 +60,10 @@ def _ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_dir(spark, "csv")
-    _ratings(spark, sf_dir).write.option("header", True).csv(path)
+    def write(path: str) -> None:
+        _ratings(spark, sf_dir).write.option("header", True).csv(path)
+
+    path = _fixture(spark, sf_dir, "csv", write)
     # Inference takes the narrowest type that fits the data at hand.
     return sources.csv_table(spark, path).select(
         F.col("user_id").cast("bigint"),
@@ -57,16 +74,16 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_dir(spark, "json")
-    inputs.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal").write.json(path)
-    return sources.json_table(spark, path).select(
-        F.col("c_custkey").cast("bigint"), "c_name", F.col("c_acctbal").cast("double")
-    )
+    def write(path: str) -> None:
+        inputs.table(spark, sf_dir, "customer").write.json(path)
+
+    rows = sources.json_table(spark, _fixture(spark, sf_dir, "json", write))
+    kinds = dict(inputs.table(spark, sf_dir, "customer").dtypes)
+    return rows.select(*[F.col(c).cast(kind) for c, kind in kinds.items()])
 
 
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = sources.parquet_table(spark, f"{sf_dir}/supplier.parquet")
-    return supplier.select("s_suppkey", "s_name", "s_acctbal")
+    return sources.parquet_table(spark, f"{sf_dir}/supplier.parquet")
 
 
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,12 +118,20 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_count_stop_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return operators.word_count(operators.drop_stop(words(spark, sf_dir), STOP_TOKENS))
+    spaced = operators.words(inputs.spaced_lines(spark, sf_dir))
+    return operators.word_count(operators.drop_stop(spaced, STOP_TOKENS))
 
 
 def word_count_stop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Counted first: the join then sees each word once, however frequent it is.
-    return operators.drop_stop(word_count(spark, sf_dir), inputs.stop_table(spark, sf_dir))
+    # A stop table small enough to be sent drops words where they are read, before the count; a larger
+    # one is joined behind the count, with each word once.
+    stop = inputs.stop_table(spark, sf_dir)
+    return operators.drop_stop(word_count(spark, sf_dir), stop, salt=0)
+
+
+def word_count_stop_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stop = inputs.stop_table(spark, sf_dir)
+    return operators.drop_stop(word_count(spark, sf_dir), stop, salt=0, max_bytes=0)
 
 
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,6 +236,13 @@ def emp_dept_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.dim_join(emp, dept, "deptno")
 
 
+def emp_dept_join_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a shuffle gathered by key, joined with every key of more than ten rows spread."""
+    emp = sources.emp_table(inputs.emp_lines(spark, sf_dir)).repartition("deptno")
+    dept = sources.dept_table(inputs.dept_lines(spark, sf_dir))
+    return operators.dim_join(emp, dept, "deptno", strategy="merge", salt=8, hot_rows=10)
+
+
 def emp_dept_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     emp = sources.emp_table(inputs.emp_lines(spark, sf_dir))
     dept = sources.dept_table(inputs.dept_lines(spark, sf_dir))
@@ -246,14 +278,13 @@ def sel_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sel_max_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    functions.register_functions(spark)
-    customers = inputs.table(spark, sf_dir, "customer")
-    operators.register(
-        functions.combined_for_sel_max(customers, ["c_mktsegment"], "c_acctbal"), "salaries"
+    operators.register(inputs.table(spark, sf_dir, "customer"), "salaries")
+    highest, negative, falling = (
+        functions.sel_max_sql(e) for e in ("c_acctbal", "c_acctbal - 20000", "-c_acctbal")
     )
     return spark.sql(
-        "SELECT c_mktsegment, sel_max(c_acctbal) AS highest, "
-        "sel_max(c_acctbal - 20000) AS all_negative FROM salaries GROUP BY c_mktsegment"
+        f"SELECT c_mktsegment, {highest} AS highest, {negative} AS all_negative, {falling} AS falling, "
+        "COUNT(*) AS cnt FROM salaries GROUP BY c_mktsegment"
     )
 
 
@@ -297,16 +328,6 @@ def _two_deliveries(
         run(streaming.file_lines(spark, inbox), checkpoint)
 
 
-def _state_partitions(spark: SparkSession, sf_dir: str, name: str, rows_each: int) -> int:
-    """Pieces of state for a stream over a table, from its row count (no column is read).
-
-    Never more than the session's shuffle setting, which fits the size of the cluster.
-    """
-    counted = operators.row_count(inputs.table(spark, sf_dir, name)).first()["cnt"]
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(most, max(8, counted // rows_each))
-
-
 def stream_batch_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_dir(spark, "batches")
     sink = streaming.batch_word_count(sinks.batch_files(out))
@@ -317,23 +338,33 @@ def stream_batch_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_dir(spark, "lines")
     sink = sinks.batch_files(out, fmt="json")
+
+    def run(lines: DataFrame, checkpoint: str) -> None:
+        streaming.run(sinks.with_batch_time(lines), checkpoint, sink)
+
+    _two_deliveries(spark, sf_dir, run)
+    written = sinks.read_batches(spark, out, fmt="json", schema="value string, batch_time string")
+    # The time itself differs from run to run.
+    return written.select("batch_id", "value", F.length("batch_time").alias("time_length"))
+
+
+def sink_batch_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word count of each delivery as text lines."""
+    out = fresh_dir(spark, "batch-text")
+    sink = streaming.batch_word_count(sinks.batch_tsv(out))
     _two_deliveries(spark, sf_dir, lambda lines, chk: streaming.run(lines, chk, sink))
-    lines = sinks.read_batches(spark, out, fmt="json").where("batch_time is not null")
-    return lines.select("batch_id", "value")
+    return sinks.read_batches(spark, out, fmt="text", schema="value string").select("batch_id", "value")
 
 
 def _running(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     out = fresh_dir(spark, "running")
     sink = sinks.batch_files(out)
-    pieces = _state_partitions(spark, sf_dir, "documents", rows_each=20_000)
 
     def run(lines: DataFrame, checkpoint: str) -> None:
-        counts = streaming.running_word_count(lines)
-        streaming.run(counts, checkpoint, sink, output_mode=mode, state_partitions=pieces)
+        streaming.run(streaming.running_word_count(lines), checkpoint, sink, output_mode=mode)
 
     _two_deliveries(spark, sf_dir, run)
-    # Counts only grow, so the latest one of a word is its highest.
-    return sinks.read_batches(spark, out).groupBy("word").agg(F.max("cnt").alias("cnt"))
+    return sinks.read_batches(spark, out).select("batch_id", "word", "cnt")
 
 
 def stream_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,6 +377,18 @@ def stream_restart_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _running(spark, sf_dir, "update")
 
 
+def _latest_windows(spark: SparkSession, out: str, key: str) -> DataFrame:
+    """The last count of each window that was written in update mode."""
+    found = sinks.read_batches(spark, out)
+    last = found.groupBy("window_start", "window_end", key).agg(F.max_by("cnt", "batch_id").alias("cnt"))
+    return last.select(
+        F.unix_seconds("window_start").alias("window_start"),
+        F.unix_seconds("window_end").alias("window_end"),
+        key,
+        "cnt",
+    )
+
+
 def stream_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = fresh_dir(spark, "windows"), fresh_dir(spark, "checkpoint")
     events = streaming.parquet_rows(spark, f"{sf_dir}/events.parquet")
@@ -353,14 +396,22 @@ def stream_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     utc = F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")
     timed = events.select("event_type", utc.alias("ts"))
     counts = streaming.window_count(timed, "ts", "event_type", "12 hours", "6 hours", "10 minutes")
-    pieces = _state_partitions(spark, sf_dir, "events", rows_each=1_000_000)
-    streaming.run(counts, checkpoint, out, state_partitions=pieces)
-    return spark.read.parquet(out).select(
-        F.unix_seconds("window_start").alias("window_start"),
-        F.unix_seconds("window_end").alias("window_end"),
-        "event_type",
-        "cnt",
-    )
+    streaming.run(counts, checkpoint, sinks.batch_files(out), output_mode="update")
+    return _latest_windows(spark, out, "event_type")
+
+
+def stream_window_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of timed records in sliding windows, in two deliveries over a restart."""
+    inbox, out, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "windows", "checkpoint"))
+    for records in inputs.timed_deliveries(spark, sf_dir):
+        records.write.mode("append").parquet(inbox)
+        lines = streaming.decode_values(streaming.parquet_rows(spark, inbox), keep=["timestamp"])
+        # The deliveries overlap in time, so nothing may be late.
+        counts = streaming.window_word_count(
+            lines, "timestamp", "2 days", "1 day", watermark="100000 days"
+        )
+        streaming.run(counts, checkpoint, sinks.batch_files(out), output_mode="update")
+    return _latest_windows(spark, out, "word")
 
 
 QUERIES: dict[str, Query] = {
@@ -380,6 +431,7 @@ QUERIES: dict[str, Query] = {
         word_count,
         word_count_stop_list,
         word_count_stop_table,
+        word_count_stop_shuffled,
         top_words,
         kafka_word_count,
         content_size_stats,
@@ -400,6 +452,7 @@ QUERIES: dict[str, Query] = {
         select_upper,
         select_lower,
         emp_dept_join,
+        emp_dept_join_shuffled,
         emp_dept_lookup,
         group_top3,
         group_top3_salted,
@@ -410,8 +463,10 @@ QUERIES: dict[str, Query] = {
         sink_jdbc,
         stream_batch_word_count,
         sink_batch_files,
+        sink_batch_text,
         stream_running_count,
         stream_restart_count,
         stream_window_count,
+        stream_window_words,
     )
 }
