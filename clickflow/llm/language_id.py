@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clickflow.llm.shared import documents
 
@@ -227,7 +228,7 @@ def predict(docs: DataFrame, samples: Samples) -> DataFrame:
                 )
 
     rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
-    schema = rows.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    schema = StructType([rows.schema["row"]]).add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(run, schema)
 
 
