@@ -221,7 +221,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     def sets_of(ids: DataFrame) -> DataFrame:
         """``id, items`` for classes by their ``id``, from the whole texts."""
         wanted = ids.select(F.col("id").alias("doc_id")).distinct()
-        held = rows.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "id long, items array<long>")
+        held = rows.join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets, "id long, items array<long>")
         return written(held, "sets")
 
     def verify(pairs: DataFrame) -> DataFrame:
