@@ -77,9 +77,9 @@ def link_buckets(
     """
     shared = (
         buckets.groupBy("key")
-        .agg(F.min("id").alias("hub"), F.max("id").alias("last"))
-        .where("last > hub")
-        .drop("last")
+        .agg(F.min("id").alias("hub"), F.count("*").alias("n"))
+        .where("n > 1")
+        .drop("n")
     )
     members = written(buckets.join(shared, "key").select("key", "id", "hub"), "members")
     pairs = members.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
