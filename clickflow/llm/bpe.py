@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm.shared import documents, written
+from clickflow.llm.shared import documents
 from clickflow.llm.tokens import id_lists, slices, splitter, texts_of
 from clickflow.scratch import fresh_dir
 
@@ -61,9 +61,9 @@ def _known_words(path: str) -> dict[str, int]:
     return known
 
 
-def pack_ragged(items: list[bytes], unit: int = 1) -> bytes:
-    """Byte strings as one compressed string: their number, their lengths in units, their content."""
-    lengths = np.array([len(items), *(len(x) // unit for x in items)], dtype="<u4")
+def pack_ragged(items: list[bytes]) -> bytes:
+    """Byte strings as one compressed string: their number, their lengths, their content."""
+    lengths = np.array([len(items), *map(len, items)], dtype="<u4")
     return zstandard.compress(lengths.tobytes() + b"".join(items), 3)
 
 
@@ -74,6 +74,16 @@ def unpack_ragged(data: bytes) -> tuple[np.ndarray, bytes]:
     return np.frombuffer(raw, "<u4", n, 4), raw[4 * (n + 1) :]
 
 
+def _pack_numbers(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, compressed byte by byte: all lowest bytes first, the mostly empty highest ones last."""
+    return zstandard.compress(numbers.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+
+
+def _unpack_numbers(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
+
+
 class _Block:
     """The documents of one block: pre-tokens as vocabulary ids or numbers of the block's own words."""
 
@@ -110,7 +120,7 @@ class _Block:
         for doc_id, codes in zip(self.doc_ids, self.docs, strict=True):
             own = codes >= self.limit
             codes[own] = number[codes[own] - self.limit]
-            yield block, -1, doc_id, zstandard.compress(codes.tobytes(), 1)
+            yield block, -1, doc_id, _pack_numbers(codes)
 
 
 _BLOCK_ROWS = "block long, bucket int, doc_id long, body binary"
@@ -164,7 +174,7 @@ def _merge_words(words: DataFrame, ranks: str) -> DataFrame:
                 if bucket != current:
                     current, memo = bucket, {}
                 lengths, raw = unpack_ragged(body)
-                ids, at = [], 0
+                ids, counts, at = [], [], 0
                 for length in lengths.tolist():
                     word = raw[at : at + length]
                     at += length
@@ -172,7 +182,9 @@ def _merge_words(words: DataFrame, ranks: str) -> DataFrame:
                     if found is None:
                         found = memo[word] = array("I", merge(word)).tobytes()
                     ids.append(found)
-                bodies.append(pack_ragged(ids, 4))
+                    counts.append(len(found) // 4)
+                joined = np.frombuffer(b"".join(ids), "<u4")
+                bodies.append(_pack_numbers(np.concatenate([[len(counts)], counts, joined]).astype("<u4")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(bodies, pa.binary())], ["block", "bucket", "body"]
             )
@@ -189,13 +201,13 @@ def _ragged_take(starts: np.ndarray, lengths: np.ndarray, values: np.ndarray) ->
 
 def _assemble(docs: pa.Table, words: pa.Table, limit: int) -> pa.Table:
     words = words.sort_by("bucket")
-    found = [unpack_ragged(body) for body in words.column("body").to_pylist()]
-    lengths = np.concatenate([np.ones(limit, np.int64), *(f[0].astype(np.int64) for f in found)])
-    values = np.concatenate([np.arange(limit, dtype="<u4"), *(np.frombuffer(f[1], "<u4") for f in found)])
+    found = [_unpack_numbers(body) for body in words.column("body").to_pylist()]
+    lengths = np.concatenate([np.ones(limit, np.int64), *(f[1 : f[0] + 1].astype(np.int64) for f in found)])
+    values = np.concatenate([np.arange(limit, dtype="<u4"), *(f[f[0] + 1 :] for f in found)])
     starts = np.cumsum(lengths) - lengths
     packed = []
     for body in docs.column("body").to_pylist():
-        codes = np.frombuffer(zstandard.decompress(body), "<u4")
+        codes = _unpack_numbers(body)
         packed.append(_ragged_take(starts[codes], lengths[codes], values).tobytes())
     return pa.table({"doc_id": docs.column("doc_id"), "ids": id_lists(packed)})
 
@@ -227,7 +239,7 @@ def encode(
         .repartition(spread, "bucket")
         .sortWithinPartitions("bucket", "block")
     )
-    merged = written(_merge_words(words, ranks), "bpe-words")
+    merged = _merge_words(words, ranks)
     limit = max(read_ranks(ranks).values()) + 1
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
