@@ -123,6 +123,7 @@ def search_cell(
     for i, query_id in enumerate(query_ids.tolist()):
         query = queries[i]
         length = math.sqrt((query * query).sum())
+        slack = 1e-9 * length * math.sqrt(frame.top)
         reach = _box_distance(low, high, spots[i : i + 1])[0]
         order = np.argsort(reach, kind="stable")
         best_ids, best = np.empty(0, dtype=np.int64), np.empty(0)
@@ -135,6 +136,8 @@ def search_cell(
                 break
             rows = np.concatenate([leaves[leaf] for leaf in order[at : at + step]])
             rows = rows[ids[rows] != query_id]
+            # A matrix product passes over what cannot come in; the rest is summed exactly.
+            rows = rows[vectors[rows] @ query >= bound - slack]
             all_ids = np.concatenate([best_ids, ids[rows]])
             scores = np.concatenate([best, _products(vectors[rows], query)])
             keep = np.lexsort((all_ids, -scores))[:k]
