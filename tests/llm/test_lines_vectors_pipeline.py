@@ -97,6 +97,35 @@ def test_lines_equal_brute_force(docs_of):
     assert {r["doc_id"]: r["removed"] for r in got} == removed_by_brute_force(docs)
 
 
+def edited(rnd, words):
+    """The words with one word replaced, put in or left out, or one letter changed; close to them in edit distance."""
+    i = rnd.randrange(len(words))
+    letters = "".join(rnd.choice("abcdefghij") for _ in words[i])
+    return rnd.choice(
+        [
+            [*words[:i], letters, *words[i + 1 :]],
+            [*words[:i], "of", *words[i:]],
+            [*words[:i], *words[i + 1 :]],
+            [*words[:i], words[i][:-1] + "q", *words[i + 1 :]],
+        ]
+    )
+
+
+def test_lines_with_one_edit_are_found_at_any_length(docs_of):
+    rnd = random.Random(5)
+    docs, gone = [], {}
+    for low, high in [(5, 15), (9, 14), (16, 30), (31, 80), (81, 120)]:
+        end = len(docs) + 120
+        while len(docs) < end:
+            words = ["".join(rnd.choice("klmnopqrst") for _ in range(rnd.randint(2, 9))) for _ in range(rnd.randint(low, high))]
+            one, two = " ".join(words), " ".join(edited(rnd, words))
+            if one != two and len(two.split()) >= 5 and edit_distance(one, two) <= max(len(one), len(two)) // 10:
+                gone[len(docs) + 1] = [0]
+                docs += [(len(docs), one), (len(docs) + 1, two)]
+    got = line_dedup.removed_lines(docs_of(*docs), distance=None).collect()
+    assert {r["doc_id"]: r["removed"] for r in got} == gone
+
+
 def test_simhash_is_the_majority(spark):
     sizes = [1, 2, 3, 5, 126, 500, 33_000]
     words = {n: [f"w{i % 977}" for i in range(n)] for n in sizes}
