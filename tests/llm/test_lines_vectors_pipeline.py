@@ -168,6 +168,15 @@ def test_lines_of_edges(docs_of):
         line_dedup.line_groups(docs, distance=4)
 
 
+def test_line_query_counts_rows_without_an_id(spark, docs_of, tmp_path):
+    long = "one two three four five six"
+    docs_of((1, long), (None, f"{long}\nshort"), (2, "short")).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = line_dedup.op2_line_dedup(spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["n_lines"], r["n_removed"], tuple(r["removed"])) for r in rows} == {
+        (1, 1, 0, ()), (None, 2, 1, (0,)), (2, 1, 0, ()),
+    }
+
+
 def test_no_python_in_the_line_plans(docs_of):
     plan = line_dedup.removed_lines(docs_of("a b c d e f"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
