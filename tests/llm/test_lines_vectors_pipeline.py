@@ -177,6 +177,24 @@ def test_line_query_counts_rows_without_an_id(spark, docs_of, tmp_path):
     }
 
 
+def test_lines_of_scripts_without_spaces(docs_of):
+    rnd = random.Random(6)
+
+    def line(first, last, n):
+        return "".join(chr(rnd.randint(first, last)) for _ in range(n))
+
+    docs, gone = [], {}
+    for script in [(0x4E00, 0x9FA5), (0x3041, 0x3096), (0x0E01, 0x0E2E), (0x20000, 0x2A6D0)]:
+        for n in (10, 11, 12, 40):
+            one = line(*script, n)
+            docs += [(len(docs), one), (len(docs) + 1, one), (len(docs) + 2, line(*script, 1) + one[1:])]
+            gone[len(docs) - 2] = gone[len(docs) - 1] = [0]
+    docs += [(len(docs), "日本語テスト"), (len(docs) + 1, "日本語テスト")]
+    docs += [(len(docs), "three longish words"), (len(docs) + 1, "three longish words")]
+    got = line_dedup.removed_lines(docs_of(*docs), distance=None).collect()
+    assert {r["doc_id"]: r["removed"] for r in got} == gone
+
+
 def test_no_python_in_the_line_plans(docs_of):
     plan = line_dedup.removed_lines(docs_of("a b c d e f"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
