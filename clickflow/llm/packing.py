@@ -83,12 +83,14 @@ def _cut(length: int, capacity: int, rest_tokens: int) -> list[tuple[int, int]]:
     return cuts + [(s, min(rest_tokens, length - s)) for s in range(whole, length, rest_tokens)]
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, rest_tokens: int) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int, rest_tokens: int, added: bool = False
+) -> DataFrame:
     """``doc_id, start, length, doc_tokens, ids``: each id of each document in exactly one piece."""
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, False)
+        enc = encoder(tokenizer, False, added)
         for part in slices(batches):
             rows, packed = [], []
             for doc_id, ids in zip(
@@ -151,6 +153,7 @@ def pieces_and_placements(
     capacity: int = CAPACITY,
     rest_tokens: int = REST_TOKENS,
     block_pieces: int = BLOCK_PIECES,
+    added: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """The numbered pieces of all documents, and the window and offset of every rest.
 
@@ -158,7 +161,7 @@ def pieces_and_placements(
     shuffled for packing.
     """
     pieces = written(
-        token_pieces(docs, tokenizer, end_id, capacity, rest_tokens).withColumn(
+        token_pieces(docs, tokenizer, end_id, capacity, rest_tokens, added).withColumn(
             "piece_id", F.monotonically_increasing_id()
         ),
         "pieces",
@@ -180,15 +183,16 @@ def pack(
     capacity: int = CAPACITY,
     rest_tokens: int = REST_TOKENS,
     block_pieces: int = BLOCK_PIECES,
+    added: bool = False,
 ) -> DataFrame:
     """``doc_id, start, length, doc_tokens, ids, sequence_id, offset`` for every piece of ``doc_id, text``.
 
     ``sequence_id`` is unique, not dense: twice the number of the window's first piece, plus one if
     the window holds rests. Offsets in a window are gapless from 0. A null text is the end id alone; a
     null or repeated ``doc_id`` is kept like any other; an empty table gives no row; other columns are
-    not read.
+    not read. With ``added``, strings of the file's added tokens get those tokens' ids.
     """
-    pieces, placed = pieces_and_placements(docs, tokenizer, end_id, capacity, rest_tokens, block_pieces)
+    pieces, placed = pieces_and_placements(docs, tokenizer, end_id, capacity, rest_tokens, block_pieces, added)
     return _joined(pieces, placed, "ids")
 
 
@@ -202,9 +206,9 @@ def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sums, pa.int64())], names)
 
 
-def pack_digests(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def pack_digests(docs: DataFrame, tokenizer: str, end_id: int, added: bool = False) -> DataFrame:
     """Like ``pack``, with the checksum of each piece's ids instead of the ids, taken before the join."""
-    pieces, placed = pieces_and_placements(docs, tokenizer, end_id)
+    pieces, placed = pieces_and_placements(docs, tokenizer, end_id, added=added)
     sums = pieces.select("doc_id", "start", "length", "doc_tokens", "piece_id", "ids").mapInArrow(
         _checksums,
         "doc_id long, start long, length long, doc_tokens long, piece_id long, ids_crc32 long",
@@ -215,4 +219,4 @@ def pack_digests(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return pack_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1, added=True)

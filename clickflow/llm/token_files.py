@@ -31,12 +31,13 @@ def write_token_files(
     row_group_bytes: int = ROW_GROUP_BYTES,
     page_bytes: int = PAGE_BYTES,
     page_rows: int = PAGE_ROWS,
+    added: bool = False,
 ) -> None:
     """Encode ``doc_id, text`` and write ``doc_id, n_tokens, ids`` to a new folder.
 
     Texts, which are smaller than their ids, are range-partitioned; equal ids are told apart by their
     place in the input, so that a repeated id is not bound to one task. A null text is written
-    as the end id alone, a null ``doc_id`` comes first. Files are committed by Spark's writer.
+    as the end id alone, a null ``doc_id`` comes first. With ``added``, strings of the file's added tokens get their ids. Files are committed by Spark's writer.
     """
     ordered = (
         docs.select("doc_id", "text")
@@ -44,7 +45,7 @@ def write_token_files(
         .repartitionByRange("doc_id", "place")
         .sortWithinPartitions("doc_id", "place")
     )
-    tokens = token_lists(ordered, tokenizer, True, end_id)
+    tokens = token_lists(ordered, tokenizer, True, end_id, added)
     (
         tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
         .write.option("compression", "zstd")
@@ -129,5 +130,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = fresh_dir(spark, "token-files")
-    write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, added=True)
     return token_digests(spark, path)

@@ -117,15 +117,28 @@ class WordMerges:
         return [data[a:b] for a, b in itertools.pairwise(ends)]
 
 
+def _added_tokens(path: str) -> dict[str, bytes]:
+    """Packed ids of a file's added tokens. Those that strip, need word bounds or match normalised text are refused."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    for t in tokens:
+        if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]:
+            raise ValueError(f"added token {t['content']!r} does not match as plain text")
+    return {t["content"]: t["id"].to_bytes(4, "little") for t in tokens}
+
+
 class Encoder:
     """Packed little-endian unsigned 32-bit ids of texts, by a tokenizer file of ``tokenizers``.
 
-    Strings of special tokens in a text are ordinary text.
+    Strings of the file's added tokens in a text are ordinary text; with ``added`` they get the tokens' ids, as
+    the library gives by default.
     """
 
-    def __init__(self, path: str, byte_level: bool):
+    def __init__(self, path: str, byte_level: bool, added: bool = False):
         from tokenizers import Tokenizer
 
+        self._added = _added_tokens(path) if added else {}
+        self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")
         self._normalize = Tokenizer.from_file(path).normalizer
         self._merges = WordMerges(path)
         self._split = splitter(byte_level)
@@ -141,25 +154,37 @@ class Encoder:
             return self._normalize.normalize_str(text)
         return unicodedata.normalize("NFC", text).lower()
 
+    def _words(self, text: str) -> list[str]:
+        """Pre-tokens, and added tokens where they stand."""
+        if not self._added or not self._cut.search(text):
+            return self._split(self._clean(text))
+        words = []
+        for i, part in enumerate(self._cut.split(text)):
+            words += [part] if i % 2 else self._split(self._clean(part))
+        return words
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         memo = self._memo
         if len(memo) > MEMO_WORDS:
             memo.clear()
-        split = [self._split(self._clean(t)) for t in texts]
-        missing = list(set().union(*split).difference(memo))
+        split = [self._words(t) for t in texts]
+        missing = list(set().union(*split).difference(memo, self._added))
         memo.update(zip(missing, self._merges.packed(missing), strict=True))
-        get = memo.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        if not self._added:
+            get = memo.__getitem__
+            return [b"".join(map(get, words)) for words in split]
+        # No pre-token equals an added token: all are cut out before the text is split.
+        return [b"".join(self._added[w] if w in self._added else memo[w] for w in words) for words in split]
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[tuple[str, bool, bool], Encoder] = {}
 
 
-def encoder(path: str, byte_level: bool) -> Encoder:
+def encoder(path: str, byte_level: bool, added: bool = False) -> Encoder:
     """One encoder, and so one memo, per worker process."""
-    key = (path, byte_level)
+    key = (path, byte_level, added)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, byte_level)
+        _ENCODERS[key] = Encoder(path, byte_level, added)
     return _ENCODERS[key]
 
 
@@ -182,15 +207,15 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t if t is not None else "" for t in column.to_pylist()]
 
 
-def token_lists(df: DataFrame, path: str, byte_level: bool, end_id: int | None) -> DataFrame:
+def token_lists(df: DataFrame, path: str, byte_level: bool, end_id: int | None, added: bool = False) -> DataFrame:
     """``doc_id`` and ``ids`` of a table with ``doc_id`` and ``text``; rows keep their order.
 
-    A null text is an empty one. ``end_id`` closes every document.
+    A null text is an empty one. ``end_id`` closes every document. ``added``: see ``Encoder``.
     """
     end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, byte_level)
+        enc = encoder(path, byte_level, added)
         for part in slices(batches):
             packed = [p + end for p in enc.encode(texts_of(part.column(1)))]
             yield pa.RecordBatch.from_arrays([part.column(0), id_lists(packed)], ["doc_id", "ids"])

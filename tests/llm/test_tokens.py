@@ -44,6 +44,18 @@ def test_encoder_equals_library(path, byte_level, small_docs):
     assert [np.frombuffer(p, "<u4").tolist() for p in packed] == library(path)(texts)
 
 
+@pytest.mark.parametrize(("path", "byte_level"), [(WORD, False), (BYTE, True)])
+def test_added_tokens_equal_the_library_as_loaded(path, byte_level):
+    tokenizer = Tokenizer.from_file(path)
+    texts = [t or "" for t in EDGE_TEXTS] + [
+        "a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|><|endoftext|>\n y  <|endoftext|>", "<|ENDOFTEXT|> <|endoftext| >",
+        "ΑΣ<|endoftext|>Σ é <|startoftext|>'s  ", "", "a <|endoftext|>",
+    ]
+    expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    packed = Encoder(path, byte_level, added=True).encode(texts)
+    assert [np.frombuffer(p, "<u4").tolist() for p in packed] == expected
+
+
 def test_bpe_equals_tiktoken_in_any_blocks(docs_of, tik):
     docs = docs_of(*EDGE_TEXTS, *EDGE_TEXTS, (None, "null id"), (None, "null id"), (3, "again 3"))
     expected = sorted(
