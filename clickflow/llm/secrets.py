@@ -22,7 +22,7 @@ from hashlib import sha256
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickflow.llm.shared import documents
@@ -442,13 +442,19 @@ def op12_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     found = scan(documents(spark, sf_dir).select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["route"] == "")
-    listed = F.transform("secrets", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
-    plain = F.transform(base, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans: Column) -> Column:
+        texts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(texts, ",")
+
     return found.select(
         F.col("row.doc_id").alias("doc_id"),
-        *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
-        F.sha2(F.array_join(plain, ","), 256).alias("base_sha256"),
-        F.array_join(listed, ",").alias("spans"),
+        *map(number, KINDS),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("secrets")).alias("spans"),
         (F.size("secrets") - F.size(base)).cast("long").alias("n_layered"),
         "n_refused",
     )

@@ -251,9 +251,12 @@ def test_scan_keeps_rows_and_clashing_columns(docs_of):
     assert secrets.scan(docs.limit(0)).collect() == []
 
 
-def test_registered_secret_scan_equals_brute_force(spark, small_dir, small_docs):
-    got = {r["doc_id"]: r for r in secrets.op12_secret_scans(spark, small_dir).collect()}
+def test_registered_secret_scan_equals_brute_force(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    small_docs = [(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()]
+    got = {r["doc_id"]: r for r in secrets.op12_secret_scans(spark, sf_dir).collect()}
     assert len(got) == len(small_docs)
+    assert sum(r["n_assign"] for r in got.values()) > 0
     for doc_id, text in small_docs:
         row, spans = got[doc_id], plain_base(text or "")
         counts = Counter(k for _, _, k in spans)
