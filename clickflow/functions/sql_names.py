@@ -11,8 +11,8 @@ _CASE_FUNCTIONS = {"toUpper": "upper", "toLower": "lower"}
 def register_functions(spark: SparkSession) -> None:
     """Register ``toUpper`` and ``toLower`` in this session.
 
-    They are SQL functions that the optimizer replaces by the built-in. SQL functions may not aggregate, so
-    ``sel_max`` has no name of its own: put ``sel_max_sql("expression")`` into the SQL text.
+    They are SQL functions that the optimizer replaces by the built-in. SQL functions may not aggregate; a name
+    for an aggregate, such as ``sel_max``, is given by ``register_aggregate``.
     """
     for name, builtin in _CASE_FUNCTIONS.items():
         spark.sql(

@@ -128,6 +128,7 @@ ORACLE_SQL: dict[str, str] = {
         from ({_GROUP_TOP}) group by key""",
     "sel_max": _SEL_MAX,
     "sel_max_sql": _SEL_MAX_SQL,
+    "sel_max_named": _SEL_MAX_SQL,
     "sink_text_tsv": f"select word || chr(9) || cnt as value from ({_WORD_COUNT})",
     "sink_jdbc": "select event_type, count(*) as cnt from events group by event_type",
     "stream_batch_word_count": f"""select batch_id, word, count(*) as cnt

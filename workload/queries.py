@@ -288,6 +288,16 @@ def sel_max_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sel_max_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sel_max`` by its name, twice in one statement and beside built-in aggregates."""
+    functions.register_aggregate(spark, functions.SEL_MAX)
+    operators.register(inputs.table(spark, sf_dir, "customer"), "salaries")
+    return spark.sql(
+        "SELECT c_mktsegment, sel_max(c_acctbal) AS highest, sel_max(c_acctbal - 20000) AS all_negative, "
+        "sel_max(-c_acctbal) AS falling, COUNT(*) AS cnt FROM salaries GROUP BY c_mktsegment"
+    )
+
+
 # --- sinks ------------------------------------------------------------------------------------
 
 
@@ -459,6 +469,7 @@ QUERIES: dict[str, Query] = {
         group_top3_list,
         sel_max,
         sel_max_sql,
+        sel_max_named,
         sink_text_tsv,
         sink_jdbc,
         stream_batch_word_count,
