@@ -1,11 +1,13 @@
 from clickflow.operators.lookup import dim_join, dim_lookup
 from clickflow.operators.predicates import non_blank
-from clickflow.operators.sizes import broadcast_bytes, kept_if_small
+from clickflow.operators.salting import HeavyKeys, heavy_keys
+from clickflow.operators.sizes import broadcast_bytes, if_small
 from clickflow.operators.tables import cached, cached_view, register, row_count
 from clickflow.operators.topk import group_top, group_top_list, top_by
 from clickflow.operators.words import STOP_TOKENS, drop_stop, lines_of, word_count, words
 
 __all__ = [
+    "HeavyKeys",
     "STOP_TOKENS",
     "broadcast_bytes",
     "cached",
@@ -15,7 +17,8 @@ __all__ = [
     "drop_stop",
     "group_top",
     "group_top_list",
-    "kept_if_small",
+    "heavy_keys",
+    "if_small",
     "lines_of",
     "non_blank",
     "register",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickflow.operators.checks import keep_or_raise
 from clickflow.operators.salting import DEFAULT_HOT_ROWS, DEFAULT_SALT, salted_join
-from clickflow.operators.sizes import DEFAULT_BROADCAST_BYTES, kept_if_small
+from clickflow.operators.sizes import DEFAULT_BROADCAST_BYTES, if_small
 
 _HIT = "_hit"
 
@@ -34,7 +34,7 @@ def dim_join(
     and shuffles otherwise. ``merge`` always shuffles both sides, with keys of more than ``hot_rows`` rows salted.
     """
     keys = _as_list(key)
-    small = kept_if_small(dim, max_bytes) if strategy == "broadcast" else None
+    small = if_small(dim, max_bytes) if strategy == "broadcast" else None
     if small is not None:
         return fact.join(F.broadcast(small), keys, "inner")
     return salted_join(fact, dim, keys, "inner", salt, hot_rows)
@@ -82,7 +82,7 @@ def dim_lookup(
     how = "inner" if on_miss == "drop" else "left"
     if on_miss == "fail":
         unique = unique.withColumn(_HIT, F.lit(True))
-    small = kept_if_small(unique, max_bytes)
+    small = if_small(unique, max_bytes)
     if small is not None:
         joined = fact.join(F.broadcast(small), keys, how)
     else:

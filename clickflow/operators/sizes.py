@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -27,14 +26,9 @@ def broadcast_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(per_row), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def kept_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame | None:
+def if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame | None:
     """The table, if its measured size is within ``max_bytes``, else None.
 
-    It is computed once: measured in the cluster's cache, and used from there. Spark drops it from the
-    cache with the session, or earlier when the space is needed. A larger table is let go at once.
+    Measuring computes the table once more and keeps nothing; cache or write a table that is costly to compute.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if broadcast_bytes(kept) <= max_bytes:
-        return kept
-    kept.unpersist()
-    return None
+    return df if broadcast_bytes(df) <= max_bytes else None

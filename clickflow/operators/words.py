@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.operators.salting import DEFAULT_SALT, salted_join
-from clickflow.operators.sizes import DEFAULT_BROADCAST_BYTES, kept_if_small
+from clickflow.operators.sizes import DEFAULT_BROADCAST_BYTES, if_small
 
 # The punctuation tokens that are not counted.
 STOP_TOKENS = [",", ".", "#", "$", "!", "?", "@"]
@@ -56,7 +56,7 @@ def drop_stop(
     if not isinstance(stop, DataFrame):
         return words.where(~F.col(column).isin(list(stop)))
     table = stop.select(F.col(stop.columns[0]).alias(column)).distinct()
-    small = kept_if_small(table, max_bytes)
+    small = if_small(table, max_bytes)
     if small is not None:
         return words.join(F.broadcast(small), column, "left_anti")
     # An anti join would be moved below a count, and so shuffle every raw word; an outer one stays.

@@ -5,8 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from clickflow.operators import broadcast_bytes, dim_join, dim_lookup, group_top, group_top_list
-from clickflow.operators.salting import row_salt
+from clickflow.operators import broadcast_bytes, dim_join, dim_lookup, group_top, group_top_list, heavy_keys
+from clickflow.operators.salting import row_salt, salted_join
 from tests.conftest import rows
 
 
@@ -108,6 +108,73 @@ def test_hot_key_is_spread(spark):
         spark.conf.unset(merging)
 
 
+def final_plan(df):
+    df.count()
+    text = plan_of(df)
+    return text[: text.index("Initial Plan")] if "Initial Plan" in text else text
+
+
+def skewed(spark, rows_):
+    """Nine tenths of the rows have one key, the others each their own."""
+    return spark.range(0, rows_, 1, 16).select(
+        F.when(F.col("id") % 10 > 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_one_key_with_nine_tenths_of_the_rows(spark, how):
+    facts = skewed(spark, 30_000)
+    dim = spark.range(-1, 29_000, 1, 4).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    dim = dim.unionByName(spark.createDataFrame([(-1, -9)], dim.schema))
+    joined = salted_join(facts, dim, ["k"], how, salt=8, hot_rows=1_000)
+    plain = facts.join(dim, "k", how)
+    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("SortMergeJoin") == 1
+    assert "_salt" in text
+
+
+def test_the_fact_is_shuffled_once_and_salted_by_then(spark, sf_dir):
+    from workload.queries import emp_dept_join_shuffled
+
+    text = final_plan(emp_dept_join_shuffled(spark, sf_dir))
+    exchanges = [line for line in text.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 2 and all("_salt" in line for line in exchanges)
+
+
+def test_keys_of_different_types_and_nulls(spark):
+    facts = spark.createDataFrame([(1, "a")] * 50 + [(2, "b"), (None, "c")] * 30, "k int, v string")
+    dim = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k bigint, w string")
+    for hot_rows in (0, 40, 1000):
+        inner = salted_join(facts, dim, ["k"], "inner", salt=4, hot_rows=hot_rows)
+        assert inner.groupBy("v", "w").count().count() == 2 and inner.count() == 80
+        left = salted_join(facts, dim, ["k"], "left", salt=4, hot_rows=hot_rows)
+        assert left.count() == 110 and left.where("w is null").count() == 30
+    assert salted_join(facts.limit(0), dim, ["k"], "left", hot_rows=0).count() == 0
+
+
+def test_heavy_keys_within_their_error(spark):
+    # More keys than are tracked: one with a tenth of the rows, ten with a hundredth, the rest once each.
+    facts = spark.range(0, 200_000, 1, 24).select(
+        F.when(F.col("id") % 10 == 0, -1).when(F.col("id") % 10 == 1, -2 - F.col("id") % 100).otherwise(F.col("id")).alias("k")
+    )
+    true = {r.h: r.n for r in facts.groupBy(F.xxhash64("k").alias("h")).agg(F.count("*").alias("n")).collect()}
+    found = heavy_keys(facts, F.xxhash64("k"), tracked=1_024)
+    assert found.rows == 200_000 and found.error < 600
+    assert {h for h, n in true.items() if n > found.error} <= set(found.hashes)
+    for h, n in zip(found.hashes, found.estimates, strict=True):
+        assert abs(n - true[h]) <= found.error
+    assert found.estimates == sorted(found.estimates, reverse=True)
+    assert heavy_keys(facts.limit(0), F.xxhash64("k")).hashes == []
+
+
+def test_measuring_keeps_nothing(spark, emp, dept):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    dim_join(emp, dept, "deptno").collect()
+    dim_join(emp, dept, "deptno", max_bytes=1).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
 def test_salt_takes_every_value_on_one_task(spark):
     df = spark.range(0, 1000, 1, 1).withColumn("k", F.lit(1)).repartition("k")
     assert df.select(row_salt(8, ["id", "k"]).alias("s")).distinct().count() == 8

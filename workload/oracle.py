@@ -122,6 +122,7 @@ ORACLE_SQL: dict[str, str] = {
     "emp_dept_join": _EMP_DEPT,
     "emp_dept_join_shuffled": _EMP_DEPT,
     "emp_dept_lookup": _EMP_DEPT,
+    "heavy_keys": "select l_returnflag, count(*) as cnt from lineitem group by l_returnflag",
     "group_top3": _GROUP_TOP,
     "group_top3_salted": _GROUP_TOP,
     "group_top3_list": f"""select key, string_agg(value, ',' order by value desc) as top_values

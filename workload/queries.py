@@ -237,12 +237,20 @@ def emp_dept_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def emp_dept_join_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that a shuffle gathered by key, joined with every key of more than ten rows spread."""
-    emp = sources.emp_table(inputs.emp_lines(spark, sf_dir)).repartition("deptno")
+    """Every key of more than ten rows is spread before the one shuffle of the employees."""
+    emp = sources.emp_table(inputs.emp_lines(spark, sf_dir))
     dept = sources.dept_table(inputs.dept_lines(spark, sf_dir))
     return operators.dim_join(emp, dept, "deptno", strategy="merge", salt=8, hot_rows=10)
 
 
+def heavy_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The return flags of all line items with their counts: fewer keys than are tracked, so counts are exact."""
+    found = operators.heavy_keys(inputs.table(spark, sf_dir, "lineitem"), F.xxhash64("l_returnflag"))
+    pairs = spark.createDataFrame(list(zip(found.hashes, found.estimates, strict=True)), "hash bigint, cnt bigint")
+    flags = inputs.table(spark, sf_dir, "lineitem").select("l_returnflag").distinct()
+    return flags.join(pairs, F.xxhash64("l_returnflag") == F.col("hash")).select("l_returnflag", "cnt")
+
+
 def emp_dept_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     emp = sources.emp_table(inputs.emp_lines(spark, sf_dir))
     dept = sources.dept_table(inputs.dept_lines(spark, sf_dir))
@@ -464,6 +472,7 @@ QUERIES: dict[str, Query] = {
         emp_dept_join,
         emp_dept_join_shuffled,
         emp_dept_lookup,
+        heavy_keys,
         group_top3,
         group_top3_salted,
         group_top3_list,
