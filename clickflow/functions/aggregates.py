@@ -20,6 +20,7 @@ from hashlib import sha256
 from pyspark.sql import SparkSession
 
 from clickflow.scratch import fresh_dir
+from clickflow.storage import write_bytes
 
 _PACKAGE = "clickflow.aggregates"
 # The types that arguments, states and results may have: in Spark, in Java, as an object, and how a row gives them.
@@ -160,11 +161,9 @@ def _jar(spark: SparkSession, aggregate: UserAggregate) -> str:
     with zipfile.ZipFile(packed, "w") as jar:
         for name in classes:
             jar.writestr(f"{name.replace('.', '/')}.class", bytes(classes[name]))
-    target = jvm.org.apache.hadoop.fs.Path(f"{fresh_dir(spark, 'aggregate')}/{aggregate.class_name}.jar")
-    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
-    out.write(packed.getvalue())
-    out.close()
-    return target.toString()
+    path = f"{fresh_dir(spark, 'aggregate')}/{aggregate.class_name}.jar"
+    write_bytes(spark, path, packed.getvalue())
+    return path
 
 
 _JARS: dict[tuple[str, str], str] = {}

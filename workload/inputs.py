@@ -54,6 +54,33 @@ def timed_deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [records.where(part).drop("lang") for part in (english, ~english)]
 
 
+def language_deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All document lines in five deliveries: one for each of four languages, then the rest."""
+    documents = table(spark, sf_dir, "documents")
+    parts = [F.col("lang") == lang for lang in ("en", "de", "es", "fr")]
+    rest = F.col("lang").isNull() | ~F.col("lang").isin("en", "de", "es", "fr")
+    return [lines_of(documents.where(part), "text") for part in (*parts, rest)]
+
+
+#: The days on which a new delivery of ``event_deliveries`` begins.
+NEW_DELIVERIES = ("2024-01-11", "2024-01-21")
+
+
+def event_deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All events in three deliveries, one after the other in time. ``ts`` is read as UTC whatever the session's zone."""
+    utc = F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")
+    day = F.left(F.col("ts").cast("string"), F.lit(10))
+    events = table(spark, sf_dir, "events")
+    first, second = NEW_DELIVERIES
+    parts = (day < first, (day >= first) & (day < second), day >= second)
+    return [events.where(part).select("user_id", "event_type", utc.alias("ts")) for part in parts]
+
+
+def closing_record(spark: SparkSession) -> DataFrame:
+    """One empty record of the far future, after which every earlier window is final."""
+    return spark.sql("SELECT cast('' as binary) as value, timestamp'9000-01-01 00:00:00Z' as timestamp")
+
+
 def stop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words to leave out: the vocabulary of the benchmark texts."""
     return words(lines_of(table(spark, sf_dir, "benchmark"), "text")).distinct()

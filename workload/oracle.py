@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from workload.inputs import NEW_DELIVERIES
 from workload.queries import DAY, MANY_REQUESTS
 
 
@@ -72,6 +73,40 @@ _SEL_MAX_SQL = f"""select s.*, falling, cnt from ({_SEL_MAX}) s join (select c_m
     greatest(coalesce(max(-c_acctbal), 0.0), 0.0)::double as falling, count(*) as cnt
     from customer group by c_mktsegment) using (c_mktsegment)"""
 
+_WINDOW_WORDS = f"""with b as (
+            select unnest([(day - 1) * 86400, day * 86400]) as window_start, word from
+            ({_words("select text as line, doc_id * 60 // 86400 as day from documents", ", day")}))
+        select window_start, window_start + 172800 as window_end, word, count(*) as cnt
+        from b group by window_start, word"""
+
+# 0 to 3 for the four languages' deliveries, 4 for the rest.
+_LANGUAGE_DELIVERY = """coalesce(list_position(['en', 'de', 'es', 'fr'], lang) - 1, 4)::bigint as batch_id"""
+
+
+def _visits() -> str:
+    """Deliveries in turn: what a user's state becomes, who is gone by the latest time seen, who is kept."""
+    first, second = NEW_DELIVERIES
+    steps = [
+        f"""found as (select user_id, (ts >= date '{first}')::int + (ts >= date '{second}')::int as batch,
+            epoch_ms(ts) as ms from events)""",
+        "kept as (select null::bigint as user_id, null::bigint as n, null::bigint as last where false)",
+    ]
+    rows, kept = [], "kept"
+    for i in range(3):
+        steps.append(f"""now{i} as (select user_id, coalesce(k.n, 0) + coalesce(d.n, 0) as n,
+            coalesce(d.last, k.last) as last, d.n is not null as touched,
+            coalesce(d.last, k.last) + 43200000 <= (select max(ms) from found where batch <= {i}) as gone
+            from {kept} k full join
+                (select user_id, count(*) as n, max(ms) as last from found where batch = {i} group by user_id) d
+            using (user_id))""")
+        rows.append(f"select user_id, n as cnt, false as expired from now{i} where touched")
+        rows.append(f"select user_id, n, true from now{i} where gone")
+        kept = f"(select user_id, n, last from now{i} where not gone)"
+    return f"with {', '.join(steps)} {' union all '.join(rows)}"
+
+
+_VISITS = _visits()
+
 ORACLE_SQL: dict[str, str] = {
     "scan_text": f"select line as value from ({_DOCUMENT_LINES})",
     "scan_partition_dir": f"""select {_VIEW_LINE} as value, '{DAY}' as day from events
@@ -153,9 +188,13 @@ ORACLE_SQL: dict[str, str] = {
             event_type, count(*) as cnt
         from b
         group by s, event_type""",
-    "stream_window_words": f"""with b as (
-            select unnest([(day - 1) * 86400, day * 86400]) as window_start, word from
-            ({_words("select text as line, doc_id * 60 // 86400 as day from documents", ", day")}))
-        select window_start, window_start + 172800 as window_end, word, count(*) as cnt
-        from b group by window_start, word""",
+    "stream_window_words": _WINDOW_WORDS,
+    "stream_window_panes": _WINDOW_WORDS,
+    "stream_window_arrival": f"""with w as (select word, batch_id, count(*) as n
+            from ({_words(_lines("documents", extra=f", {_LANGUAGE_DELIVERY}"), ", batch_id")}) group by word, batch_id)
+        select first_batch, last_batch, word, sum(n)::bigint as cnt
+        from w, (values (0::bigint, 1::bigint), (1::bigint, 3::bigint)) b(first_batch, last_batch)
+        where batch_id between first_batch and last_batch group by first_batch, last_batch, word""",
+    "stream_state_count": _VISITS,
+    "stream_redealt_count": _WORD_COUNT,
 }

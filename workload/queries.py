@@ -432,6 +432,69 @@ def stream_window_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _latest_windows(spark, out, "word")
 
 
+def stream_window_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same windows from panes of a day: written once, when they are final."""
+    inbox, out, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "windows", "checkpoint"))
+    for records in (*inputs.timed_deliveries(spark, sf_dir), inputs.closing_record(spark)):
+        records.write.mode("append").parquet(inbox)
+        lines = streaming.decode_values(streaming.parquet_rows(spark, inbox), keep=["timestamp"])
+        counts = streaming.window_word_count_panes(
+            lines, "timestamp", "2 days", "1 day", watermark="100000 days"
+        )
+        streaming.run(counts, checkpoint, sinks.batch_files(out), output_mode="append")
+    return sinks.read_batches(spark, out).select(
+        F.unix_seconds("window_start").alias("window_start"),
+        F.unix_seconds("window_end").alias("window_end"),
+        "word",
+        "cnt",
+    )
+
+
+def stream_window_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the last three batches, after every second one; the stream is restarted for each batch."""
+    inbox, out, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "arrivals", "checkpoint"))
+    sink = streaming.each_batch(operators.words, streaming.arrival_windows(out, "word", length=3, slide=2))
+    for lines in inputs.language_deliveries(spark, sf_dir):
+        lines.write.mode("append").text(inbox)
+        streaming.run(streaming.file_lines(spark, inbox), checkpoint, sink)
+    return streaming.read_arrival_windows(spark, out)
+
+
+def stream_state_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per visit of a user, by a function of one's own; a visit ends after twelve idle hours.
+
+    Three deliveries, each over a restart. Every batch gives the users it changed and the visits that have ended.
+    """
+    inbox, out, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "states", "checkpoint"))
+    for events in inputs.event_deliveries(spark, sf_dir):
+        events.write.mode("append").parquet(inbox)
+        counts = streaming.running_state(
+            streaming.parquet_rows(spark, inbox), "user_id", "event_type", streaming.add_count, ts="ts", idle="12 hours"
+        )
+        streaming.run(counts, checkpoint, sinks.batch_files(out), output_mode="update", state_partitions=4)
+    return sinks.read_batches(spark, out).select("user_id", F.col("state").alias("cnt"), "expired")
+
+
+def stream_redealt_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A running count over both deliveries, the second with four times as many state partitions.
+
+    The result is read from the state, as the first counts are.
+    """
+    inbox, first, counts, second = (fresh_dir(spark, n) for n in ("inbox", "checkpoint", "counts", "checkpoint"))
+    english, others = inputs.document_deliveries(spark, sf_dir)
+    english.write.text(inbox)
+    running = streaming.running_word_count(streaming.file_lines(spark, inbox))
+    sink = sinks.batch_files(fresh_dir(spark, "running"))
+    streaming.run(running, first, sink, output_mode="update", state_partitions=4)
+    streaming.read_counts(spark, first).write.parquet(counts)
+
+    others.write.mode("append").text(inbox)
+    going_on = streaming.redealt_word_count(streaming.resumed_file_lines(spark, inbox, first), counts)
+    sink = sinks.batch_files(fresh_dir(spark, "running"))
+    streaming.run(going_on, second, sink, output_mode="update", state_partitions=16)
+    return streaming.read_counts(spark, second)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -488,5 +551,9 @@ QUERIES: dict[str, Query] = {
         stream_restart_count,
         stream_window_count,
         stream_window_words,
+        stream_window_panes,
+        stream_window_arrival,
+        stream_state_count,
+        stream_redealt_count,
     )
 }
