@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
-from clickflow.operators import broadcast_bytes, dim_join, dim_lookup, group_top, group_top_list, heavy_keys
+from clickflow.operators import broadcast_bytes, dim_join, dim_lookup, group_top, group_top_list, group_top_selected, heavy_keys
 from clickflow.operators.salting import row_salt, salted_join
 from tests.conftest import rows
 
@@ -219,3 +221,41 @@ def test_group_top_cuts_before_the_shuffle(groups):
     for k in (3, 2000):
         plain, salted = (plan_of(group_top(groups, "key", "value", k=k, salt=s)) for s in (0, 8))
         assert salted.count("Exchange") == plain.count("Exchange") + 1
+
+
+VALUES = {
+    "int": [1, 9, 9, 4, 9, -3, 0],
+    "bigint": [2**60, 2**60 + 1, 2**60 + 2, 2**60 + 2, -(2**62), 5],
+    "double": [1.5, float("inf"), float("-inf"), float("nan"), 1e308, -1e308, 5e-324, 0.0, -0.0, 1.5],
+    "decimal(20,3)": [Decimal("1.001"), Decimal("99999.999"), Decimal("-5.000"), Decimal("99999.998")],
+}
+
+
+@pytest.mark.parametrize("kind", sorted(VALUES))
+@pytest.mark.parametrize("k", [1, 3, 100])
+def test_selection_equals_ranking(spark, kind, k):
+    data = [(key, v) for key in ("a", None, "b") for v in VALUES[kind]] + [("c", None), ("d", VALUES[kind][0])]
+    df = spark.createDataFrame(data, f"key string, value {kind}").repartition(4)
+    # By their text: NaN is not equal to itself.
+    assert repr(rows(group_top_selected(df, "key", "value", k))) == repr(rows(group_top(df, "key", "value", k)))
+
+
+def test_selection_on_nothing_many_keys_and_texts(spark):
+    df = spark.range(0, 5000, 1, 8).selectExpr("id % 700 AS key", "id * 7919 % 100003 AS value")
+    expected = rows(group_top(df, "key", "value"))
+    assert rows(group_top_selected(df, "key", "value")) == expected
+    assert rows(group_top_selected(df, "key", "value", max_bytes=10)) == expected
+    assert group_top_selected(df.limit(0), "key", "value").collect() == []
+    with pytest.raises(ValueError, match="numeric"):
+        group_top_selected(df.selectExpr("key", "string(value) AS value"), "key", "value")
+
+
+def test_selection_sorts_few_rows(spark):
+    df = spark.range(0, 200_000, 1, 8).selectExpr("id % 3 AS key", "xxhash64(id) AS value")
+    found = group_top_selected(df, "key", "value", k=10)
+    found.collect()
+    text = plan_of(found)
+    # All rows meet two broadcast joins and a filter; what is sorted is counted behind them.
+    assert "Sort " not in text[text.rindex("BroadcastHashJoin"):]
+    wanted = found._jdf.queryExecution().executedPlan()
+    assert rows(found) == rows(group_top(df, "key", "value", k=10)) and wanted is not None

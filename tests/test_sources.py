@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from clickflow import sources
 from clickflow.sources import (
     access_log,
     csv_table,
@@ -174,3 +175,56 @@ def test_files(spark, tmp_path):
 def test_text_lines(spark, tmp_path):
     (tmp_path / "f.txt").write_text("a b\n\nc\n")
     assert [r.value for r in text_lines(spark, str(tmp_path / "f.txt")).collect()] == ["a b", "", "c"]
+
+
+LOG = [
+    '1.1.1.1 - u [01/Jan/2024:00:00:00 +0000] "GET /a HTTP/1.1" 200 5',
+    '1.1.1.1 - u [01/Jan/2024:00:00:00 +0000] "GET /a HTTP/1.1" 200 -',
+    '1.1.1.1 - u [01/Jan/2024:00:00:00 +0000] "GET /b HTTP/1.1" 404 7 "r" "agent 1"',
+    '1.1.1.1 - u [01/Jan/2024:00:00:00 +0000] "GET /c HTTP/1.1" 200 99999999999999999999',
+    "",
+    None,
+    "nothing of the kind",
+]
+
+
+def test_lines_are_counted_in_the_pass_that_parses_them(spark):
+    lines = spark.createDataFrame([(line,) for line in LOG], "value string").repartition(3)
+    logs, counted = sources.counted_access_log(lines)
+    assert rows(logs) == rows(sources.access_log(lines, on_bad="drop"))
+    assert counted.get == {"read": 7, "valid": 2, "rejected": 5}
+    logs, counted = sources.counted_access_log(lines.limit(0))
+    assert logs.collect() == [] and counted.get == {"read": 0, "valid": 0, "rejected": 0}
+
+
+def test_the_text_is_read_once_for_both_branches(spark, tmp_path):
+    text = str(tmp_path / "text")
+    spark.createDataFrame([(line,) for line in LOG if line is not None], "value string").repartition(3).write.text(text)
+    found = sources.split_access_log(sources.text_lines(spark, text), str(tmp_path / "split"))
+    assert found.counts == {"read": 6, "valid": 2, "rejected": 4}
+    assert rows(found.rows) == rows(sources.access_log(sources.text_lines(spark, text), on_bad="drop"))
+    assert rows(found.rejects) == sorted((line,) for line in (LOG[1], LOG[3], LOG[4], LOG[6]))
+    nulls = spark.createDataFrame([(None,), (LOG[0],)], "value string")
+    found = sources.split_access_log(nulls, str(tmp_path / "nulls"))
+    assert rows(found.rejects) == [(None,)] and found.rows.count() == 1
+    with pytest.raises(Exception, match="(?i)exists"):
+        sources.split_access_log(nulls, str(tmp_path / "nulls"))
+
+
+def test_columns_that_are_not_used_are_not_cut_out(spark):
+    lines = spark.createDataFrame([(line,) for line in LOG], "value string")
+    logs, _ = sources.counted_access_log(lines)
+    plan = logs.select("responseCode")._jdf.queryExecution().optimizedPlan().toString()
+    assert "userId" not in plan and "endpoint" not in plan
+
+
+def test_a_stream_reports_its_counts(spark, tmp_path):
+    inbox = str(tmp_path / "in")
+    spark.createDataFrame([(line,) for line in LOG if line is not None], "value string").coalesce(1).write.text(inbox)
+    logs, _ = sources.counted_access_log(spark.readStream.text(inbox))
+    query = (
+        logs.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "chk")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    counts = query.recentProgress[0]["observedMetrics"]["access_log"]
+    assert (counts["read"], counts["valid"], counts["rejected"]) == (6, 2, 4)

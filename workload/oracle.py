@@ -31,6 +31,9 @@ _WITHOUT_STOP_TABLE = f"""select word, cnt from ({_WORD_COUNT})
 _DELIVERY = "case when lang is not distinct from 'en' then 0 else 1 end::bigint as batch_id"
 _DELIVERED_LINES = _lines("documents", extra=f", {_DELIVERY}")
 
+_BATCH_WORD_COUNT = f"""select batch_id, word, count(*) as cnt
+    from ({_words(_DELIVERED_LINES, ", batch_id")}) group by batch_id, word"""
+
 _IP = "'10.' || (user_id // 65536) || '.' || (user_id // 256 % 256) || '.' || (user_id % 256)"
 _ENDPOINT = r"'/' || event_type || '/' || regexp_extract(props, '(\d+)', 1)"
 _CODE = "case event_type when 'error' then 500 else 200 end"
@@ -128,6 +131,12 @@ ORACLE_SQL: dict[str, str] = {
         || '] "GET ' || {_ENDPOINT} || ' HTTP/1.1" ' || {_CODE} || ' ' || ({_SIZE})
         || case event_type when 'click' then ' "http://shop.example/" "agent 1.0"' else '' end
         as value from events where event_type <> 'signup'""",
+    "log_line_counts": f"""select (select count(*) from events) as read, count(*) as valid,
+        (select count(*) from events where event_type = 'signup') as rejected,
+        sum(size)::decimal(38, 0) as total_size from ({_LOGS})""",
+    "log_rejected_lines": f"""select {_IP} || ' - u' || user_id || ' [' || {_LOG_TIME}
+        || '] "GET ' || {_ENDPOINT} || ' HTTP/1.1" ' || {_CODE} || ' -' as value
+        from events where event_type = 'signup'""",
     "words": _DOCUMENT_WORDS,
     "word_count": _WORD_COUNT,
     "word_count_stop_list": f"""select word, count(*) as cnt from ({_words(_SPACED_LINES)})
@@ -160,6 +169,7 @@ ORACLE_SQL: dict[str, str] = {
     "heavy_keys": "select l_returnflag, count(*) as cnt from lineitem group by l_returnflag",
     "group_top3": _GROUP_TOP,
     "group_top3_salted": _GROUP_TOP,
+    "group_top3_selected": _GROUP_TOP,
     "group_top3_list": f"""select key, string_agg(value, ',' order by value desc) as top_values
         from ({_GROUP_TOP}) group by key""",
     "sel_max": _SEL_MAX,
@@ -167,8 +177,9 @@ ORACLE_SQL: dict[str, str] = {
     "sel_max_named": _SEL_MAX_SQL,
     "sink_text_tsv": f"select word || chr(9) || cnt as value from ({_WORD_COUNT})",
     "sink_jdbc": "select event_type, count(*) as cnt from events group by event_type",
-    "stream_batch_word_count": f"""select batch_id, word, count(*) as cnt
-        from ({_words(_DELIVERED_LINES, ", batch_id")}) group by batch_id, word""",
+    "sink_jdbc_once": "select event_type, count(*) as cnt from events group by event_type",
+    "stream_batch_word_count": _BATCH_WORD_COUNT,
+    "sink_batch_log": _BATCH_WORD_COUNT,
     "sink_batch_files": f"""select batch_id, line as value, 19::int as time_length
         from ({_DELIVERED_LINES})""",
     "sink_batch_text": f"""select batch_id, word || chr(9) || count(*) as value

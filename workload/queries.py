@@ -106,6 +106,20 @@ def log_valid_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.valid_log_lines(inputs.log_lines(spark, sf_dir))
 
 
+def log_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines read, valid and rejected, counted while the size statistics are computed."""
+    logs, counted = sources.counted_access_log(inputs.log_lines(spark, sf_dir))
+    stats = plans.content_size_stats(logs).select("total_size").first()
+    counts = counted.get
+    row = (*[counts[name] for name in ("read", "valid", "rejected")], stats["total_size"])
+    return spark.createDataFrame([row], "read bigint, valid bigint, rejected bigint, total_size decimal(38,0)")
+
+
+def log_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that are no valid log lines, written beside the valid ones in one pass."""
+    return sources.split_access_log(inputs.log_lines(spark, sf_dir), fresh_dir(spark, "split-log")).rejects
+
+
 # --- words ------------------------------------------------------------------------------------
 
 
@@ -118,7 +132,10 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_count_stop_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spaced = operators.words(inputs.spaced_lines(spark, sf_dir))
+    def write(path: str) -> None:
+        inputs.spaced_lines(spark, sf_dir).write.text(path)
+
+    spaced = operators.words(sources.text_lines(spark, _fixture(spark, sf_dir, "spaced-text", write)))
     return operators.word_count(operators.drop_stop(spaced, STOP_TOKENS))
 
 
@@ -272,6 +289,10 @@ def group_top3_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.group_top(_pairs(spark, sf_dir), "key", "value", salt=8)
 
 
+def group_top3_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return operators.group_top_selected(_pairs(spark, sf_dir), "key", "value")
+
+
 def group_top3_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = operators.group_top_list(_pairs(spark, sf_dir), "key", "value")
     return listed.select("key", F.array_join("top_values", ",").alias("top_values"))
@@ -333,6 +354,16 @@ def sink_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.jdbc(url, "event_counts")
 
 
+def sink_jdbc_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a staging table and one transaction, written twice: the second run replaces the first."""
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("an embedded database is not visible to the executors of a cluster")
+    url = f"jdbc:derby:;databaseName={mkdtemp(prefix='clickflow-')}/db;create=true"
+    for mode in ("error", "overwrite"):
+        sinks.write_jdbc_once(_event_counts(spark, sf_dir), url, "event_counts", mode=mode)
+    return spark.read.jdbc(url, "event_counts")
+
+
 # --- streams ----------------------------------------------------------------------------------
 
 
@@ -353,6 +384,20 @@ def stream_batch_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_batches(spark, out).select("batch_id", "word", "cnt")
 
 
+def sink_batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word count of each delivery under a commit log; the last batch runs twice."""
+    out = fresh_dir(spark, "logged")
+    sink = streaming.batch_word_count(sinks.logged_batches(out))
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        sink(batch, batch_id)
+        if batch_id == 1:
+            sink(batch, batch_id)
+
+    _two_deliveries(spark, sf_dir, lambda lines, chk: streaming.run(lines, chk, twice))
+    return sinks.read_logged(spark, out).select("batch_id", "word", "cnt")
+
+
 def sink_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_dir(spark, "lines")
     sink = sinks.batch_files(out, fmt="json")
@@ -508,6 +553,8 @@ QUERIES: dict[str, Query] = {
         scan_track_log,
         scan_access_log,
         log_valid_lines,
+        log_line_counts,
+        log_rejected_lines,
         words,
         word_count,
         word_count_stop_list,
@@ -538,12 +585,15 @@ QUERIES: dict[str, Query] = {
         heavy_keys,
         group_top3,
         group_top3_salted,
+        group_top3_selected,
         group_top3_list,
         sel_max,
         sel_max_sql,
         sel_max_named,
         sink_text_tsv,
         sink_jdbc,
+        sink_jdbc_once,
+        sink_batch_log,
         stream_batch_word_count,
         sink_batch_files,
         sink_batch_text,
