@@ -32,11 +32,14 @@ def shared_root(spark: SparkSession) -> str:
 
 
 _MADE: dict[str, list[str]] = {}
+_TABLES: dict[str, list[str]] = {}
 
 
 def delete_scratch(spark: SparkSession) -> None:
-    """Delete the folders that this session was given below the shared root, by the Hadoop file system."""
+    """Drop the tables and delete the folders that this session was given below the shared root."""
     context = spark.sparkContext
+    for name in _TABLES.pop(context.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     hadoop = context._jvm.org.apache.hadoop.fs
     for name in _MADE.pop(context.applicationId, []):
         path = hadoop.Path(name)
@@ -55,7 +58,16 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     Whatever is written there goes when the program ends, or by ``delete_scratch`` earlier.
     """
     name = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
-    if not _MADE:
+    if not _MADE and not _TABLES:
         atexit.register(_delete_at_exit)
     _MADE.setdefault(spark.sparkContext.applicationId, []).append(name)
     return name
+
+
+def fresh_table(spark: SparkSession, label: str) -> str:
+    """A table name that no earlier run has used. The catalog's entry goes as a ``fresh_dir`` does."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    if not _MADE and not _TABLES:
+        atexit.register(_delete_at_exit)
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name

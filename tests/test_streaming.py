@@ -259,7 +259,13 @@ def test_scratch_is_deleted(spark):
     kept = dict(scratch._MADE)
     scratch._MADE.clear()
     scratch._MADE[spark.sparkContext.applicationId] = [path]
+    table, tables = scratch.fresh_table(spark, "gone"), dict(scratch._TABLES)
+    spark.range(3).write.option("path", path + "/table").saveAsTable(table)
+    scratch._TABLES.clear()
+    scratch._TABLES[spark.sparkContext.applicationId] = [table]
     scratch.delete_scratch(spark)
+    assert not spark.catalog.tableExists(table)
     scratch._MADE.update(kept)
+    scratch._TABLES.update({a: [n for n in names if n != table] for a, names in tables.items()})
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
