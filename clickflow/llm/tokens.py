@@ -58,11 +58,7 @@ def splitter(byte_level: bool) -> Callable[[str], list[str]]:
     )
 
     def split(text: str) -> list[str]:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return general.findall(text)
-        return latin.findall(text)
+        return latin.findall(text) if _only_latin_1(text) else general.findall(text)
 
     return split
 
@@ -127,6 +123,26 @@ def _added_tokens(path: str) -> dict[str, bytes]:
     return {t["content"]: t["id"].to_bytes(4, "little") for t in tokens}
 
 
+#: Marks a whole text among pre-tokens. None of those begins with it: a pre-token of several characters is of one
+#: kind or begins with a space or an apostrophe.
+_WHOLE = "\0a"
+
+
+def _only_latin_1(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def unknown_here(text: str) -> bool:
+    """Has the text code points that this Python's Unicode tables lack? The libraries' tables may be newer."""
+    if text.isascii() or _only_latin_1(text):
+        return False
+    return any(unicodedata.category(c) == "Cn" for c in set(text))
+
+
 class Encoder:
     """Packed little-endian unsigned 32-bit ids of texts, by a tokenizer file of ``tokenizers``.
 
@@ -139,10 +155,13 @@ class Encoder:
 
         self._added = _added_tokens(path) if added else {}
         self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")
-        self._normalize = Tokenizer.from_file(path).normalizer
+        self._library = Tokenizer.from_file(path)
+        self._library.encode_special_tokens = not added
+        self._normalize = self._library.normalizer
         self._merges = WordMerges(path)
         self._split = splitter(byte_level)
-        self._memo: dict[str, bytes] = {}
+        # No pre-token equals an added token: all are cut out before the text is split.
+        self._memo: dict[str, bytes] = dict(self._added)
 
     def _clean(self, text: str) -> str:
         """NFC and lower case, if the file asks for them; white space never reaches a word."""
@@ -155,8 +174,13 @@ class Encoder:
         return unicodedata.normalize("NFC", text).lower()
 
     def _words(self, text: str) -> list[str]:
-        """Pre-tokens, and added tokens where they stand."""
-        if not self._added or not self._cut.search(text):
+        """Pre-tokens, and added tokens where they stand. A text that only the library can split is one whole."""
+        if unknown_here(text):
+            self._memo[_WHOLE + text] = np.array(
+                self._library.encode(text, add_special_tokens=False).ids, dtype="<u4"
+            ).tobytes()
+            return [_WHOLE + text]
+        if not any(token in text for token in self._added):
             return self._split(self._clean(text))
         words = []
         for i, part in enumerate(self._cut.split(text)):
@@ -167,14 +191,16 @@ class Encoder:
         memo = self._memo
         if len(memo) > MEMO_WORDS:
             memo.clear()
+            memo.update(self._added)
         split = [self._words(t) for t in texts]
-        missing = list(set().union(*split).difference(memo, self._added))
+        missing = list(set().union(*split).difference(memo))
         memo.update(zip(missing, self._merges.packed(missing), strict=True))
-        if not self._added:
-            get = memo.__getitem__
-            return [b"".join(map(get, words)) for words in split]
-        # No pre-token equals an added token: all are cut out before the text is split.
-        return [b"".join(self._added[w] if w in self._added else memo[w] for w in words) for words in split]
+        get = memo.__getitem__
+        packed = [b"".join(map(get, words)) for words in split]
+        for words in split:
+            if words and words[0].startswith(_WHOLE):
+                memo.pop(words[0], None)
+        return packed
 
 
 _ENCODERS: dict[tuple[str, bool, bool], Encoder] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -191,3 +192,20 @@ def test_token_files_edges_and_selective_reads(spark, docs_of, tmp_path):
     empty = str(tmp_path / "e")
     token_files.write_token_files(docs_of("x").limit(0), empty, BYTE, end_id=2)
     assert token_files.token_digests(spark, empty).collect() == []
+
+
+@pytest.mark.parametrize(("path", "byte_level"), [(WORD, False), (BYTE, True)])
+def test_code_points_newer_than_this_python(path, byte_level):
+    """Alone and between letters: all code points that Python's tables lack up to U+10FFF, and a share of the others."""
+    found = [c for c in range(0x11000) if unicodedata.category(chr(c)) == "Cn" or c % 11 == 0 and not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}b {chr(c)}" for c in found]
+    expected = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    packed = Encoder(path, byte_level, added=True).encode(texts)
+    assert [np.frombuffer(p, "<u4").tolist() for p in packed] == expected
+
+
+def test_added_tokens_outlive_a_full_memo(monkeypatch):
+    monkeypatch.setattr("clickflow.llm.tokens.MEMO_WORDS", 3)
+    enc = Encoder(WORD, False, added=True)
+    first = enc.encode(["some words <|endoftext|> here \u0558", "and more of them"])
+    assert enc.encode(["some words <|endoftext|> here \u0558", "and more of them"]) == first
