@@ -16,7 +16,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
-import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -31,9 +30,11 @@ from pyspark.sql import functions as F
 
 from clickflow.llm.shared import documents
 from clickflow.llm.tokens import id_lists, slices, splitter, texts_of
-from clickflow.scratch import fresh_dir
+from clickflow.scratch import fresh_dir, fresh_table
 
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 8 << 20
+#: Rows of a block that are no words: its documents, and the numbers that theirs stand for.
+_DOCUMENT, _NUMBERS = -1, -2
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -108,7 +109,10 @@ class _Block:
         self.chars += chars
 
     def rows(self, block: int, buckets: int) -> Iterator[tuple]:
-        """``block, bucket, doc_id, body``: words by bucket, then documents with bucket -1."""
+        """``block, bucket, doc_id, body``: words by bucket, then documents.
+
+        A document's numbers are places in the list of the block's numbers by falling frequency, so that most fit one byte.
+        """
         place = np.fromiter(map(zlib.crc32, self.own), dtype=np.uint32, count=len(self.own)) % buckets
         order = np.argsort(place, kind="stable")
         number = np.empty(len(order), dtype="<u4")
@@ -117,10 +121,19 @@ class _Block:
             if len(members):
                 words = [self.own[i] for i in members.tolist()]
                 yield block, int(place[members[0]]), None, pack_ragged(words)
+        counts = np.zeros(self.limit + len(self.own), dtype=np.int64)
+        for codes in self.docs:
+            np.add.at(counts, codes, 1) if len(codes) < 1_000 else np.add(
+                counts, np.bincount(codes, minlength=len(counts)), out=counts
+            )
+        by_count = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
+        rank = np.empty(len(counts), dtype="<u4")
+        rank[by_count] = np.arange(len(by_count), dtype="<u4")
+        own = by_count >= self.limit
+        by_count[own] = number[by_count[own] - self.limit]
+        yield block, _NUMBERS, None, _pack_numbers(by_count.astype("<u4"))
         for doc_id, codes in zip(self.doc_ids, self.docs, strict=True):
-            own = codes >= self.limit
-            codes[own] = number[codes[own] - self.limit]
-            yield block, -1, doc_id, _pack_numbers(codes)
+            yield block, _DOCUMENT, doc_id, _pack_numbers(rank[codes])
 
 
 _BLOCK_ROWS = "block long, bucket int, doc_id long, body binary"
@@ -205,9 +218,13 @@ def _assemble(docs: pa.Table, words: pa.Table, limit: int) -> pa.Table:
     lengths = np.concatenate([np.ones(limit, np.int64), *(f[1 : f[0] + 1].astype(np.int64) for f in found)])
     values = np.concatenate([np.arange(limit, dtype="<u4"), *(f[f[0] + 1 :] for f in found)])
     starts = np.cumsum(lengths) - lengths
+    kinds = docs.column("bucket").to_numpy()
+    (place,) = np.flatnonzero(kinds == _NUMBERS)
+    numbers = _unpack_numbers(docs.column("body")[int(place)].as_py())
+    docs = docs.filter(pa.array(kinds == _DOCUMENT))
     packed = []
     for body in docs.column("body").to_pylist():
-        codes = _unpack_numbers(body)
+        codes = numbers[_unpack_numbers(body)]
         packed.append(_ragged_take(starts[codes], lengths[codes], values).tobytes())
     return pa.table({"doc_id": docs.column("doc_id"), "ids": id_lists(packed)})
 
@@ -224,7 +241,7 @@ def encode(
     spark = docs.sparkSession
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = buckets or spread
-    table = f"bpe_{uuid.uuid4().hex}"
+    table = fresh_table(spark, "bpe")
     (
         _blocks(docs, ranks, buckets, block_chars)
         .write.bucketBy(spread, "block")
