@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.shared import written
+from clickflow.llm.shared import freeing, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,6 +20,11 @@ def components(edges: DataFrame) -> DataFrame:
     are drawn anew between what is left, until none is. Each is a grouping that combines before
     the shuffle or a join that Spark splits when a node has many links.
     """
+    with freeing() as keep:
+        return keep(_components(edges))
+
+
+def _components(edges: DataFrame) -> DataFrame:
     edges = _tidy(edges)
     levels: list[DataFrame] = []
     while not edges.isEmpty():
@@ -40,7 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
         levels.append(parent)
         edges = _tidy(_relabel(_relabel(edges, "a", parent), "b", parent))
     if not levels:
-        return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        return written(edges.select(F.col("a").alias("id"), F.col("b").alias("component")), "components")
     labels = levels[0]
     for level in levels[1:]:
         up = level.select(F.col("id").alias("component"), F.col("component").alias("up"))
@@ -75,6 +80,15 @@ def link_buckets(
     paired with each other. For the others, ``cross`` gets the members as ``key, id, component`` and returns links
     ``a, b`` that pass the same check, enough to join all members of a bucket that links can join.
     """
+    with freeing() as keep:
+        return keep(_linked(buckets, verify, cross))
+
+
+def _linked(
+    buckets: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    cross: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
     shared = (
         buckets.groupBy("key")
         .agg(F.min("id").alias("hub"), F.count("*").alias("n"))
@@ -83,8 +97,9 @@ def link_buckets(
     )
     members = written(buckets.join(shared, "key").select("key", "id", "hub"), "members")
     pairs = members.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-    tested = written(pairs.distinct(), "pairs")
-    links = written(verify(tested).select("a", "b"), "links")
+    with freeing() as keep:
+        tested = written(pairs.distinct(), "pairs")
+        links = keep(written(verify(tested).select("a", "b"), "links"))
     labels = components(links)
     grouped = members.join(labels, "id", "left").select(
         "key", "id", "hub", F.coalesce("component", "id").alias("component")
@@ -100,5 +115,6 @@ def link_buckets(
     rest = written(rest.join(opened, "key").select("key", "id", "component"), "open-members")
     if rest.isEmpty():
         return labels
-    more = written(cross(rest).select("a", "b").distinct(), "links")
+    with freeing() as keep:
+        more = keep(written(cross(rest).select("a", "b").distinct(), "links"))
     return labels if more.isEmpty() else components(links.unionByName(more))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -168,6 +169,27 @@ def test_lines_of_edges(docs_of):
         line_dedup.line_groups(docs, distance=4)
 
 
+def test_line_columns_may_have_any_names_and_emptied_documents_go(docs_of):
+    long = "one two three four five six"
+    clashing = [f"'x' AS `{c}`" for c in ("_doc", "_hash", "_removed", "removed", "gone_doc", "doc", "hash", "words")]
+    docs = docs_of(long, f"{long}\n  \n", f"{long}\nshort", "", None).selectExpr("*", *clashing)
+    rows = line_dedup.dedup_lines(docs).collect()
+    assert rows[0].asDict().keys() == set(docs.columns) and len(rows) == 5
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs, drop_emptied=True).collect()}
+    assert kept == {0: long, 2: "short", 3: "", 4: None}
+
+
+def test_nothing_but_the_result_stays_on_disk(spark, docs_of):
+    from clickflow.scratch import shared_root
+
+    root = Path(shared_root(spark).removeprefix("file://"))
+    before = set(root.iterdir())
+    rows = line_dedup.removed_lines(docs_of(*["one two three four five six"] * 4, "w " * 30), distance=None)
+    assert rows.count() == 3
+    left = {p.name.rpartition("-")[0] for p in set(root.iterdir()) - before}
+    assert left == {"lines", "line-groups"}
+
+
 def test_line_query_counts_rows_without_an_id(spark, docs_of, tmp_path):
     long = "one two three four five six"
     docs_of((1, long), (None, f"{long}\nshort"), (2, "short")).write.parquet(f"{tmp_path}/documents.parquet")
@@ -285,7 +307,8 @@ def test_pipeline(spark, small_dir):
             docs = spark.createDataFrame(out.collect(), docs.schema)
             counts.append(docs.count())
     assert counts == sorted(counts, reverse=True) and counts[-1] > 0.5 * counts[0]
-    assert counts[1] < counts[0] and counts[4] < counts[3] == counts[2]
+    # Line dedup leaves out documents all of whose lines go.
+    assert counts[1] < counts[0] and counts[4] < counts[3] <= counts[2]
     rows = out.collect()
     assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in docs.collect()}
     windows = defaultdict(int)
