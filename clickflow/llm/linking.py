@@ -72,22 +72,25 @@ def link_buckets(
     buckets: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     cross: Callable[[DataFrame], DataFrame],
+    gathered: Callable[[], None] = lambda: None,
 ) -> DataFrame:
     """``components`` of the rows of ``key, id``, joined by pairs in one bucket that ``verify`` lets pass.
 
     First, every bucket's members are checked against its smallest one; ``verify`` gets distinct ``a > b``. Buckets
     whose members are then in one group are done: no further link could change it, so copies are never
     paired with each other. For the others, ``cross`` gets the members as ``key, id, component`` and returns links
-    ``a, b`` that pass the same check, enough to join all members of a bucket that links can join.
+    ``a, b`` that pass the same check, enough to join all members of a bucket that links can join. ``gathered`` is
+    called when ``buckets`` is not read any more.
     """
     with freeing() as keep:
-        return keep(_linked(buckets, verify, cross))
+        return keep(_linked(buckets, verify, cross, gathered))
 
 
 def _linked(
     buckets: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     cross: Callable[[DataFrame], DataFrame],
+    gathered: Callable[[], None] = lambda: None,
 ) -> DataFrame:
     shared = (
         buckets.groupBy("key")
@@ -96,6 +99,7 @@ def _linked(
         .drop("n")
     )
     members = written(buckets.join(shared, "key").select("key", "id", "hub"), "members")
+    gathered()
     pairs = members.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
     with freeing() as keep:
         tested = written(pairs.distinct(), "pairs")

@@ -43,6 +43,11 @@ def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return table
 
 
+def free(table: DataFrame) -> None:
+    """Delete a written table that nothing reads any more."""
+    delete_path(table.sparkSession, table.scratch_path)
+
+
 _SCOPES: list[list[tuple[SparkSession, str]]] = []
 
 
