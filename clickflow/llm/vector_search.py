@@ -53,6 +53,12 @@ def stop_factor(certainty: float, dims: int = PROJECTED) -> float:
     return high
 
 
+def _lengths(vectors: np.ndarray) -> np.ndarray:
+    """Euclidean lengths of rows that are not zero, also where squares of their components underflow or overflow."""
+    largest = np.abs(vectors).max(axis=1)
+    return largest * np.sqrt(((vectors / largest[:, None]) ** 2).sum(axis=1))
+
+
 @dataclass(frozen=True)
 class Frame:
     """What lifts and projects a vector: the largest squared length, and the directions."""
@@ -64,7 +70,7 @@ class Frame:
         flat = vectors @ self.directions[:-1]
         if query:
             # A query has no lifted part, and its length does not change which product is largest.
-            length = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+            length = _lengths(vectors)[:, None]
             return flat / length * math.sqrt(self.top)
         rest = np.sqrt(np.maximum(self.top - (vectors * vectors).sum(axis=1), 0))
         return flat + rest[:, None] * self.directions[-1]
@@ -122,7 +128,7 @@ def search_cell(
     out = []
     for i, query_id in enumerate(query_ids.tolist()):
         query = queries[i]
-        length = math.sqrt((query * query).sum())
+        length = float(_lengths(query[None])[0])
         slack = 1e-9 * length * math.sqrt(frame.top)
         reach = _box_distance(low, high, spots[i : i + 1])[0]
         order = np.argsort(reach, kind="stable")
@@ -276,7 +282,7 @@ def nearest(
                     reach = _box_distance(low, high, frame.project(matrix, True))
                     home = reach.argmin(axis=1)
                     if others:
-                        length = np.sqrt((matrix * matrix).sum(axis=1))
+                        length = _lengths(matrix)
                         apart = np.maximum(2 * frame.top - 2 * math.sqrt(frame.top) / length * bound, 0)
                         visit = reach <= (factor * apart + 1e-9 * frame.top)[:, None]
                         visit[np.arange(len(ids)), home] = False

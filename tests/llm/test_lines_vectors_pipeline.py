@@ -286,6 +286,17 @@ def test_vectors_at_the_edges(spark):
         vector_search.nearest(frame_of(spark, [(0, [1.0]), (1, [2.0, 1.0])]), F.col("vec_id") == 0)
 
 
+def test_vectors_whose_squares_underflow(spark):
+    tiny = [(i, [1e-200 * (i + 1), 1e-200]) for i in (0, 3)]
+    rows_ = [*tiny, *((i, [float(i), 1.0]) for i in range(10, 40))]
+    df = spark.createDataFrame(rows_, "vec_id long, embedding array<double>")
+    got = vector_search.nearest(df, F.col("vec_id") % 20 == 0, k=3, cell_rows=8).collect()
+    found = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in got}
+    assert {q for q, _ in found} == {0, 20}
+    assert [found[20, i][0] for i in (1, 2, 3)] == [39, 38, 37]
+    assert [found[0, i][0] for i in (1, 2, 3)] == [39, 38, 37] and found[0, 1][1] == 39e-200 + 1e-200
+
+
 def test_chi_square():
     rng = np.random.default_rng(0)
     sample = (rng.standard_normal((200_000, 8)) ** 2).sum(axis=1)
