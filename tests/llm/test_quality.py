@@ -81,16 +81,16 @@ def test_host_verdicts_are_shrunk(spark):
 # --- language model ---------------------------------------------------------------------------
 
 
-def kneser_ney(texts, alphabet):
-    """Interpolated modified Kneser-Ney over symbols, by its textbook recursion."""
-    code = {c: i + 2 for i, c in enumerate(alphabet)}
+def kneser_ney(texts):
+    """Interpolated modified Kneser-Ney over code points, by its textbook recursion."""
     order = quality_lm.ORDER
     counts = [Counter() for _ in range(order + 1)]
     for t in texts:
-        s = [0] * (order - 1) + [code.get(c, 1) for c in t]
+        s = [0] * (order - 1) + [ord(c) + 1 for c in t]
         counts[order].update(tuple(s[i : i + order]) for i in range(len(s) - order + 1))
     for k in range(order - 1, 0, -1):
         counts[k].update(g[1:] for g in counts[k + 1])
+    base = 1 / (len(counts[1]) + 1)
 
     def discount(k):
         n = Counter(counts[k].values())
@@ -110,33 +110,112 @@ def kneser_ney(texts, alphabet):
     def p(g):
         k = len(g)
         if k == 0:
-            return 1 / 64
+            return base
         seen = after[k].get(g[:-1])
         if not seen:
-            return p(g[1:]) if k > 1 else 1 / 64
+            return p(g[1:])
         total = sum(seen)
         gamma = sum(rules[k](c) for c in seen) / total
         c = counts[k].get(g, 0)
-        lower = p(g[1:]) if k > 1 else 1 / 64
-        return (max(c - rules[k](c), 0) / total if c else 0) + gamma * lower
+        return (max(c - rules[k](c), 0) / total if c else 0) + gamma * p(g[1:])
 
     def score(t):
-        s = [0] * (order - 1) + [code.get(c, 1) for c in t]
+        s = [0] * (order - 1) + [ord(c) + 1 for c in t]
         return -sum(math.log(p(tuple(s[i : i + order]))) for i in range(len(t))) / len(t)
 
     return score
 
 
-def test_perplexity_equals_the_recursion(spark, small_docs):
-    train = [t for _, t in small_docs[:15] if t]
-    model = quality_lm.fit(spark.createDataFrame([(t,) for t in [*train, None]], "text string"))
-    score = kneser_ney(train, model.alphabet)
-    tests = [t[:400] for _, t in small_docs[15:25] if t] + ["zzz", "日本", "a"]
-    docs = spark.createDataFrame([(t, "x") for t in tests], "text string, log_perplexity string")
-    for r in quality_lm.perplexity(docs, model).collect():
-        assert r["log_perplexity"] == pytest.approx(score(r["row"]["text"]), rel=1e-4)
-    table = np.exp(model.log_probabilities().reshape(-1, 64)).sum(axis=1)
-    assert np.allclose(table, 1, atol=1e-3)
+@pytest.mark.parametrize("sent", [0, 200, 1 << 20])
+def test_perplexity_equals_the_recursion(spark, small_docs, sent):
+    train = [t for _, t in small_docs[:15] if t] + ["日本語のテキスト 🙂🙂", "Привет, мир"]
+    tests = [t[:400] for _, t in small_docs[15:25] if t] + ["zzz", "日本", "a", "🙂 мир", "a", "\0\0a", "Ω" * 50]
+    rows = [(t, True) for t in train] + [(t, False) for t in tests]
+    counts = quality_lm.gram_counts(spark.createDataFrame(rows, "text string, fit boolean").repartition(4))
+    logs = quality_lm.log_probabilities(counts)
+    score = kneser_ney(train)
+    docs = spark.createDataFrame([(i % 3, "x", t) for i, t in enumerate(tests)], "doc_id int, lang string, text string")
+    got = quality_lm.perplexity(docs.repartition(3), logs, sent).collect()
+    want = sorted((len(t), score(t)) for t in tests)
+    assert sorted((r["size"], r["log_perplexity"]) for r in got) == [(n, pytest.approx(x, rel=1e-9)) for n, x in want]
+
+
+def test_grams_of_pieces_and_wide_alphabets(monkeypatch):
+    monkeypatch.setattr(quality_lm, "_SLICE_CHARS", 7)
+    wide = "".join(map(chr, range(0x10000, 0x10000 + 70_000)))
+    for texts in (["abcabcab" * 5, None, "", "x", "\0\0\0a", "é日🙂\0" * 9], ["ab" * 40, wide]):
+        if wide in texts:
+            monkeypatch.setattr(quality_lm, "_SLICE_CHARS", 1 << 20)
+        got = Counter()
+        for pieces in quality_lm._pieces(texts):
+            assert sum(len(body) for _, _, body in pieces) <= quality_lm._SLICE_CHARS
+            head, tail, place, owner = quality_lm.distinct_grams(pieces)
+            assert len(set(zip(head.tolist(), tail.tolist()))) == len(head)
+            got.update(zip(owner.tolist(), head[place].tolist(), tail[place].tolist()))
+        want = Counter()
+        for i, text in enumerate(texts):
+            s = [0, 0, 0, *(ord(c) + 1 for c in text or "")]
+            want.update((i, s[j - 3] << 21 | s[j - 2], s[j - 1] << 21 | s[j]) for j in range(3, len(s)))
+        assert got == want
+
+
+def test_ranges_and_verdicts_by_brute_force(spark, small_dir, small_docs):
+    labels = [tuple(r) for r in spark.read.parquet(f"{small_dir}/labels.parquet").select("doc_id", "quality", "toxic").collect()]
+    good = {i for i, quality, toxic in labels if quality == 1 and not toxic}
+    fit = {i for i in good if zlib.crc32(str(i).encode()) % 2 == 0}
+    score = kneser_ney([t for i, t in small_docs if i in fit and t])
+    scores = {i: (score(t), len(t)) for i, t in small_docs if t and not t.isspace()}
+
+    def at(values, share):  # the smallest value with that share of all at or below it
+        values = sorted(values)
+        return values[max(0, math.ceil(share * len(values)) - 1)]
+
+    mid = at([scores[i][0] for i in good - fit if i in scores], 0.5)
+    apart = {i: (scores[i][0] - mid) * math.sqrt(scores[i][1]) for i in scores}
+    low = at([apart[i] for i in good if i in apart], quality_lm.LOW_QUANTILE)
+    high = at([apart[i] for i in good - fit if i in apart], quality_lm.HIGH_QUANTILE)
+    assert len(good - fit) < 2 * quality_lm.MIN_TRUSTED  # every language takes the range of all
+    got = {r["doc_id"]: r for r in QUERIES["op8_quality_classifier"](spark, small_dir).collect()}
+    assert len(got) == len(small_docs)
+    for i, _ in small_docs:
+        assert got[i]["kept"] == (i in apart and low - 1e-9 <= apart[i] <= high + 1e-9)
+        if i in scores:
+            assert got[i]["log_perplexity"] == pytest.approx(scores[i][0], abs=1e-6)
+
+
+def test_junk_of_other_scripts_is_told_apart(spark):
+    rnd = random.Random(8)
+    scripts = {"ru": "абвгдежзиклмнопрст", "el": "αβγδεζηθικλμνξοπρσ", "zh": "日本語文字列漢書国人大小中学生年月"}
+    rows, labels = [], []
+    for lang, letters in scripts.items():
+        words = ["".join(rnd.choices(letters, k=rnd.randint(2, 6))) for _ in range(60)]
+        for k in range(260):
+            clean = k < 220
+            text = (
+                " ".join(rnd.choices(words, k=120)) if clean else "".join(rnd.choices(letters + " ", k=500))
+            )
+            rows.append((len(rows), lang, text))
+            labels.append((len(labels), int(clean), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    kept = {r["row"]["doc_id"]: r["kept"] for r in quality_lm.classify(docs, known).collect()}
+    for lang in scripts:
+        ids = [i for i, own, _ in rows if own == lang]
+        assert sum(kept[i] for i in ids if labels[i][1]) >= 0.97 * 220
+        assert not any(kept[i] for i in ids if not labels[i][1])
+
+
+def test_classifier_by_label_and_language(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    got = QUERIES["op8_quality_classifier"](spark, sf_dir)
+    joined = got.join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").groupBy("quality", "toxic", "lang")
+    rows = joined.agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()
+    for r in rows:
+        if r["quality"] == 1 and not r["toxic"]:
+            assert r["kept"] >= 0.98 * r["n"]
+    bad = [r for r in rows if r["quality"] == 0]
+    assert sum(r["kept"] for r in bad) <= 0.05 * sum(r["n"] for r in bad)
+    assert all(r["kept"] <= 0.12 * r["n"] for r in bad)
 
 
 def test_classifier_keeps_clean_text_and_rejects_junk(spark, small_dir):
