@@ -19,13 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from clickflow.llm.shared import documents
+from clickflow.llm.shared import documents, written
 
-#: The bound of the labelled sample, per language: so many documents, so many characters of each, so
-#: many characters in all.
+#: The bound of the labelled sample, per language: so many documents, so many characters from anywhere in each.
 SAMPLE_DOCS = 64
-DOC_CHARS = 4_096
-SAMPLE_CHARS = 65_536
+DOC_CHARS = 1_024
 #: Texts are parsed in blocks of so many symbols, side by side. A phrase ends with its block.
 BLOCK = 1_024
 UNKNOWN = "und"
@@ -170,28 +168,31 @@ def fit(
     labelled: DataFrame,
     sample_docs: int = SAMPLE_DOCS,
     doc_chars: int = DOC_CHARS,
-    sample_chars: int = SAMPLE_CHARS,
 ) -> Samples:
     """Samples of ``doc_id, text, lang``: per language the documents with the smallest hashes of ``doc_id``.
 
-    Bounded by the parameters: per language ``sample_docs`` documents, ``doc_chars`` characters of each and
-    ``sample_chars`` in all. The ranking keeps that many rows per language and task before its
-    shuffle and reads no text; null texts, languages and ids take no part. No language: an empty model.
+    Bounded by the parameters: per language ``sample_docs`` documents and ``doc_chars`` characters of each, from a place
+    that a hash of ``doc_id`` gives. The ranking keeps that many rows per language and task before its
+    shuffle and reads no text; it is written, so that texts are only shuffled to it if its measured size is beyond Spark's
+    limit for a broadcast. Null texts, languages and ids take no part. No language: an empty model.
     """
     named = labelled.where("lang is not null and text is not null and doc_id is not null")
     hashed = F.xxhash64("doc_id")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(hashed, "doc_id"))
-    chosen = named.select("doc_id", "lang", rank.alias("rank")).where(F.col("rank") <= sample_docs)
+    ranked = named.select("doc_id", "lang", rank.alias("rank")).where(F.col("rank") <= sample_docs)
+    chosen = written(ranked.select("doc_id", "lang").distinct(), "chosen")
+    places = F.greatest(F.length("text") - doc_chars + 1, F.lit(1))
+    start = F.pmod(F.xxhash64("doc_id", F.lit("place")), places.cast("long")).cast("int") + 1
     rows = (
         named.select("doc_id", "lang", "text")
-        .join(chosen.select("doc_id", "lang").distinct(), ["doc_id", "lang"], "left_semi")
-        .select("doc_id", "lang", F.substring("text", 1, doc_chars).alias("text"))
+        .join(chosen, ["doc_id", "lang"], "left_semi")
+        .select("doc_id", "lang", F.substring(F.col("text"), start, F.lit(doc_chars)).alias("text"))
         .distinct()
         .collect()
     )
     texts: dict[str, str] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"])):
-        texts[row["lang"]] = (texts.get(row["lang"], "") + row["text"] + "\n")[:sample_chars]
+        texts[row["lang"]] = texts.get(row["lang"], "") + row["text"] + "\n"
     return Samples(tuple(sorted(texts.items())))
 
 
