@@ -73,17 +73,19 @@ def link_buckets(
     verify: Callable[[DataFrame], DataFrame],
     cross: Callable[[DataFrame], DataFrame],
     gathered: Callable[[], None] = lambda: None,
+    mark: str = "false",
 ) -> DataFrame:
     """``components`` of the rows of ``key, id``, joined by pairs in one bucket that ``verify`` lets pass.
 
-    First, every bucket's members are checked against its smallest one; ``verify`` gets distinct ``a > b``. Buckets
+    First, every bucket's members are checked against its smallest one; ``verify`` gets distinct ``a > b``, and in
+    ``marked`` whether the SQL condition ``mark`` holds for the ``key`` of a bucket that they share. Buckets
     whose members are then in one group are done: no further link could change it, so copies are never
     paired with each other. For the others, ``cross`` gets the members as ``key, id, component`` and returns links
     ``a, b`` that pass the same check, enough to join all members of a bucket that links can join. ``gathered`` is
     called when ``buckets`` is not read any more.
     """
     with freeing() as keep:
-        return keep(_linked(buckets, verify, cross, gathered))
+        return keep(_linked(buckets, verify, cross, gathered, mark))
 
 
 def _linked(
@@ -91,6 +93,7 @@ def _linked(
     verify: Callable[[DataFrame], DataFrame],
     cross: Callable[[DataFrame], DataFrame],
     gathered: Callable[[], None] = lambda: None,
+    mark: str = "false",
 ) -> DataFrame:
     shared = (
         buckets.groupBy("key")
@@ -100,9 +103,9 @@ def _linked(
     )
     members = written(buckets.join(shared, "key").select("key", "id", "hub"), "members")
     gathered()
-    pairs = members.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    pairs = members.where("id > hub").groupBy(F.col("id").alias("a"), F.col("hub").alias("b"))
     with freeing() as keep:
-        tested = written(pairs.distinct(), "pairs")
+        tested = written(pairs.agg(F.max(F.expr(mark)).alias("marked")), "pairs")
         links = keep(written(verify(tested).select("a", "b"), "links"))
     labels = components(links)
     grouped = members.join(labels, "id", "left").select(

@@ -127,6 +127,32 @@ def test_lines_with_one_edit_are_found_at_any_length(docs_of):
     assert {r["doc_id"]: r["removed"] for r in got} == gone
 
 
+def test_a_fraction_of_the_lines_that_share_a_half_is_compared(docs_of, monkeypatch):
+    rnd = random.Random(9)
+
+    def words(n):
+        return ["".join(rnd.choice("klmnopqrst") for _ in range(6)) for _ in range(n)]
+
+    half, docs = words(24), []
+    for _ in range(150):
+        rest = words(24)
+        docs += [half + rest, [*half, *rest[:9], *words(1), *rest[10:]]]
+    sizes = []
+    write = line_dedup.written
+
+    def counting(df, label, *columns):
+        table = write(df, label, *columns)
+        if label == "near-lines":
+            sizes.append(table.count())
+        return table
+
+    monkeypatch.setattr(line_dedup, "written", counting)
+    got = line_dedup.removed_lines(docs_of(*((i, " ".join(d)) for i, d in enumerate(docs))), distance=None).collect()
+    assert {r["doc_id"] for r in got} == set(range(1, 300, 2))
+    # 44,850 pairs share the half; the limit of the open bucket lets 6,202 pass, which still grows with their square.
+    assert len(sizes) == 2 and sum(sizes) < 44850 // 5
+
+
 def test_simhash_is_the_majority(spark):
     sizes = [1, 2, 3, 5, 126, 500, 33_000]
     words = {n: [f"w{i % 977}" for i in range(n)] for n in sizes}
