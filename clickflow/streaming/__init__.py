@@ -4,7 +4,7 @@ from clickflow.streaming.counts import (
     window_count,
     window_word_count,
 )
-from clickflow.streaming.runs import run, start
+from clickflow.streaming.runs import ROCKSDB, run, start
 from clickflow.streaming.sources import decode_values, file_lines, kafka_lines, parquet_rows
 from clickflow.streaming.state import (
     add_count,
@@ -24,6 +24,7 @@ from clickflow.streaming.windows import (
 )
 
 __all__ = [
+    "ROCKSDB",
     "add_count",
     "arrival_windows",
     "batch_word_count",

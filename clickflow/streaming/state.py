@@ -86,7 +86,7 @@ def running_state(
 
     ``update`` gets an iterator over the key's new values and the old state, or None where there is none, and returns
     the new state, or None to forget the key. ``kind`` is the state's SQL type. Each batch gives one row for
-    every key it changed; run it in output mode ``update`` with the RocksDB state store.
+    every key it changed; run it in output mode ``update`` with the RocksDB state store (``state_store=ROCKSDB``).
 
     With ``idle`` a key is forgotten when the watermark has passed the time ``ts`` of its last row by that much; a
     last row with ``expired`` says so. A later row starts a new state. Rows behind the watermark are dropped then.

@@ -138,6 +138,28 @@ def test_idle_keys_expire_and_start_again(spark, dirs):
         streaming.running_state(spark.range(1), "id", "id", streaming.add_count, ts="id")
 
 
+def test_own_state_runs_where_the_session_keeps_the_default_store(spark, dirs):
+    inbox, checkpoint, out = dirs
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    spark.conf.unset(setting)  # as a session without settings has it: the HDFS store, which transformWithState refuses
+    try:
+        for part in ([(0, "a"), (0, "a"), (55, "b")], [(120, "a")]):
+            deliver(spark, inbox, part)
+            found = streaming.running_state(
+                streaming.parquet_rows(spark, inbox), "key", "key", streaming.add_count, ts="ts", idle="50 minutes"
+            )
+            streaming.run(
+                found, checkpoint, sinks.batch_files(out), output_mode="update", state_partitions=2,
+                state_store=streaming.ROCKSDB,
+            )
+    finally:
+        spark.conf.set(setting, before)
+    assert sorted(r[1:] for r in states(spark, out)) == sorted([
+        ("a", 2, False), ("b", 1, False), ("a", 2, True), ("b", 1, True), ("a", 1, False),
+    ])
+
+
 def test_state_is_redealt(spark, dirs, tmp_path):
     inbox, checkpoint, out = dirs
     new, counts = str(tmp_path / "chk2"), str(tmp_path / "counts")
