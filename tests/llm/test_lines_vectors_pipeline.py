@@ -248,6 +248,19 @@ def test_no_python_in_the_line_plans(docs_of):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_a_large_open_bucket_is_compared_in_blocks(spark):
+    rows = [(-5, i, i % 4) for i in range(23)] + [(7, i, 0) for i in (3, 30, 31)] + [(9, 40, 0)]
+    members = spark.createDataFrame(rows, "key long, id long, component long").repartition(3)
+    condition = F.col("component") != F.col("component_b")
+    got = line_dedup.bucket_pairs(members, condition, block_members=4)
+    pairs = [(r["a"], r["b"]) for r in got.collect()]
+    want = [(a, b) for k, a, c in rows for l, b, d in rows if k == l and a > b and c != d]
+    assert sorted(pairs) == sorted(want)
+    # The bucket of 23 is dealt into six blocks: no join group holds all of it.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "i_b" in plan and "j_b" in plan
+
+
 # --- vectors ----------------------------------------------------------------------------------
 
 VECTORS = "vec_id long, embedding array<float>, label int, vector string, cell string, score string"
