@@ -153,6 +153,32 @@ def test_a_fraction_of_the_lines_that_share_a_half_is_compared(docs_of, monkeypa
     assert len(sizes) == 2 and sum(sizes) < 44850 // 5
 
 
+def test_candidates_meet_their_texts_in_rounds(docs_of, monkeypatch):
+    rnd = random.Random(11)
+
+    def words(n):
+        return ["".join(rnd.choice("klmnopqrst") for _ in range(6)) for _ in range(n)]
+
+    half, docs = words(24), []
+    for _ in range(30):
+        rest = words(24)
+        docs += [half + rest, [*half, *rest[:9], *words(1), *rest[10:]]]
+    monkeypatch.setattr(line_dedup, "ROUND_MEMBERS", 0.5)
+    monkeypatch.setattr(line_dedup, "ROUND_PAIRS", 0.5)
+    labels = []
+    write = line_dedup.written
+
+    def counting(df, label, *columns):
+        labels.append(label)
+        return write(df, label, *columns)
+
+    monkeypatch.setattr(line_dedup, "written", counting)
+    got = line_dedup.removed_lines(docs_of(*((i, " ".join(d)) for i, d in enumerate(docs))), distance=None).collect()
+    assert {r["doc_id"]: r["removed"] for r in got} == {i: [0] for i in range(1, 60, 2)}
+    # The open bucket of the half is compared in rounds, and so are its pairs and those with the smallest member.
+    assert labels.count("near-lines") > 2 and labels.count("similar-lines") > 3
+
+
 def test_simhash_is_the_majority(spark):
     sizes = [1, 2, 3, 5, 126, 500, 33_000]
     words = {n: [f"w{i % 977}" for i in range(n)] for n in sizes}
