@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clickflow import sinks, streaming
 from clickflow.streaming.windows import _micros
 from tests.conftest import rows
+from workload import queries
 
 START = datetime(2024, 1, 1)
 
@@ -160,6 +161,39 @@ def test_own_state_runs_where_the_session_keeps_the_default_store(spark, dirs):
     ])
 
 
+def test_many_rocksdb_stores_share_bounded_memory(spark, dirs):
+    inbox, checkpoint, _ = dirs
+    deliver(spark, inbox, [(0, "a")])
+    prefix = "spark.sql.streaming.stateStore.rocksdb"
+    found = {}
+
+    def sink(batch, batch_id):
+        for name in ("boundedMemoryUsage", "allowFAllocate"):
+            found[name] = batch.sparkSession.conf.get(f"{prefix}.{name}", None)
+        batch.collect()
+
+    counts = streaming.parquet_rows(spark, inbox).groupBy("key").count()
+    assert streaming.run(counts, checkpoint, sink, output_mode="update", state_partitions=2, state_store=streaming.ROCKSDB)
+    assert found == {"boundedMemoryUsage": "true", "allowFAllocate": "false"}
+    assert spark.conf.get(f"{prefix}.boundedMemoryUsage", None) is None
+
+
+@pytest.mark.parametrize("name", ["stream_window_words", "stream_window_panes"])
+def test_word_windows_keep_their_state_out_of_the_heap(spark, tmp_path, monkeypatch, name):
+    stores = []
+    docs = spark.createDataFrame([(1, "a b", "en")], "doc_id long, text string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+
+    def stopped(*args, state_store=None, **options):
+        stores.append(state_store)
+        raise InterruptedError
+
+    monkeypatch.setattr(queries.streaming, "run", stopped)
+    with pytest.raises(InterruptedError):
+        queries.QUERIES[name](spark, str(tmp_path))
+    assert stores == [streaming.ROCKSDB]
+
+
 def test_state_is_redealt(spark, dirs, tmp_path):
     inbox, checkpoint, out = dirs
     new, counts = str(tmp_path / "chk2"), str(tmp_path / "counts")

@@ -473,7 +473,9 @@ def stream_window_words(spark: SparkSession, sf_dir: str) -> DataFrame:
         counts = streaming.window_word_count(
             lines, "timestamp", "2 days", "1 day", watermark="100000 days"
         )
-        streaming.run(counts, checkpoint, sinks.batch_files(out), output_mode="update")
+        streaming.run(
+            counts, checkpoint, sinks.batch_files(out), output_mode="update", state_store=streaming.ROCKSDB
+        )
     return _latest_windows(spark, out, "word")
 
 
@@ -486,7 +488,9 @@ def stream_window_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
         counts = streaming.window_word_count_panes(
             lines, "timestamp", "2 days", "1 day", watermark="100000 days"
         )
-        streaming.run(counts, checkpoint, sinks.batch_files(out), output_mode="append")
+        streaming.run(
+            counts, checkpoint, sinks.batch_files(out), output_mode="append", state_store=streaming.ROCKSDB
+        )
     return sinks.read_batches(spark, out).select(
         F.unix_seconds("window_start").alias("window_start"),
         F.unix_seconds("window_end").alias("window_end"),
